@@ -6,6 +6,7 @@ with Spark, ``VIEWS`` states the same derivations as SQL.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 from functools import cached_property
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from freightloom import constants as C
 from freightloom.operators import mdm
 from freightloom.operators.quality import Period
-from freightloom.session import configure
+from freightloom.session import configure, shared_dir
 from freightloom.sources import relations as R
 from freightloom.sources.events import EVENT_SCHEMA
 
@@ -55,6 +56,16 @@ class Driver:
             self._built[name] = getattr(self, f"_{name}")()
         return self._built[name]
 
+    def stage(self, name: str, build) -> DataFrame:
+        """A parent table written to the shared folder and read back, as a load does."""
+        key = f"staged {name}"
+        if key not in self._built:
+            path = f"{shared_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
+            df = build()
+            df.write.parquet(path)
+            self._built[key] = self.spark.read.schema(df.schema).parquet(path)
+        return self._built[key]
+
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
         names = [

@@ -203,7 +203,7 @@ add(
 def _second_load(d: Driver) -> DataFrame:
     """Loading the same processings again must add nothing."""
     events = route(d["raw_wms"], "NodeProcessed")
-    first, _ = ops.build_node_processings(events, d["supply_chain_nodes"])
+    first = d.stage("processings", lambda: ops.build_node_processings(events, d["supply_chain_nodes"])[0])
     again, _ = ops.build_node_processings(events, d["supply_chain_nodes"], first)
     return first.agg(F.count("*").alias("first_load")).crossJoin(again.agg(F.count("*").alias("second_load")))
 
@@ -298,20 +298,25 @@ add(
 
 
 def _suppliers(d: Driver) -> DataFrame:
-    return ops.build_suppliers(route(d["raw_erp"], "SupplierCreated"))[0]
+    return d.stage("suppliers", lambda: ops.build_suppliers(route(d["raw_erp"], "SupplierCreated"))[0])
 
 
 def _customers(d: Driver) -> DataFrame:
-    return ops.build_customers(route(d["raw_erp"], "CustomerCreated"))[0]
+    return d.stage("customers", lambda: ops.build_customers(route(d["raw_erp"], "CustomerCreated"))[0])
 
 
 def _products(d: Driver) -> DataFrame:
-    return ops.build_products(route(d["raw_erp"], "ProductCreated"), _suppliers(d))[0]
+    return d.stage("products", lambda: ops.build_products(route(d["raw_erp"], "ProductCreated"), _suppliers(d))[0])
+
+
+def _carriers(d: Driver) -> DataFrame:
+    return d.stage("carriers", lambda: ops.build_carriers(route(d["raw_tms"], "CarrierCreated"))[0])
 
 
 def _shipments(d: Driver) -> DataFrame:
-    carriers = ops.build_carriers(route(d["raw_tms"], "CarrierCreated"))[0]
-    return ops.build_shipments(route(d["raw_tms"], "TransportStarted"), carriers)[0]
+    return d.stage(
+        "shipments", lambda: ops.build_shipments(route(d["raw_tms"], "TransportStarted"), _carriers(d))[0]
+    )
 
 
 def _with(df: DataFrame, lookup: DataFrame, key: str, name: str, how: str = "left") -> DataFrame:
@@ -352,8 +357,7 @@ add(
 
 
 def _carriers_with_trips(d: Driver) -> DataFrame:
-    carriers = ops.build_carriers(route(d["raw_tms"], "CarrierCreated"))[0]
-    trips = ops.build_shipments(route(d["raw_tms"], "TransportStarted"), carriers)[0]
+    carriers, trips = _carriers(d), _shipments(d)
     counts = trips.filter(F.col("carrier_id").isNotNull()).groupBy("carrier_id").agg(F.count("*").alias("trips"))
     return carriers.join(counts, "carrier_id", "left").na.fill(0, ["trips"])
 
@@ -383,7 +387,7 @@ add(
 
 def _order_items(d: Driver) -> DataFrame:
     events = route(d["raw_erp"], "OrderCreated")
-    orders = ops.build_orders(events, _customers(d))[0]
+    orders = d.stage("orders", lambda: ops.build_orders(events, _customers(d))[0])
     products = _products(d)
     items = ops.build_order_items(events, orders, products)[0]
     return _with(_with(items, orders, "order_id", "order_reference", "inner"), products, "product_id", "product_code", "inner")
@@ -414,7 +418,7 @@ add(
     "OPS-6_shipments",
     "shipment_identifier:s source_node:s target_node:s transport_mode:s cargo_product_reference:s carrier_code:s estimated_arrival:t started_at:t",
     lambda d: _with(
-        _shipments(d), ops.build_carriers(route(d["raw_tms"], "CarrierCreated"))[0], "carrier_id", "carrier_code"
+        _shipments(d), _carriers(d), "carrier_id", "carrier_code"
     ),
     "SELECT s.*, carrier_code FROM v_shipments s LEFT JOIN v_carriers USING (carrier_id) WHERE shipment_id % 40 <> 1",
 )

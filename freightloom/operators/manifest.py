@@ -146,7 +146,7 @@ def quality_certificates(processed: DataFrame) -> DataFrame:
         "node": F.col("supply_chain_node"),
         "checked": display_moment("event_timestamp"),
         "status": _or_dash("status"),
-        "temperature": F.coalesce(F.concat(F.format_string("%.2f", "temperature"), F.lit(" °C")), F.lit(_DASH)),
+        "temperature": F.coalesce(F.concat(F.col("temperature").cast("decimal(9,2)").cast("string"), F.lit(" °C")), F.lit(_DASH)),
         "result": F.when(passed, "BESTANDEN ✓").otherwise("NICHT BESTANDEN ✗"),
         "release": F.when(passed, "Ja").otherwise("Nein – Quarantäne"),
     }

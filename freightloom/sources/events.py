@@ -92,8 +92,12 @@ def read_events(
 
 
 def corrupt_events(events: DataFrame) -> DataFrame:
-    """The unreadable inputs, with the file each came from."""
-    return events.filter(F.col(CORRUPT).isNotNull()).select("source_file", CORRUPT)
+    """The unreadable inputs, with the file each came from.
+
+    The event type is kept as well: Spark refuses a query on raw JSON that
+    reads the corrupt record alone.
+    """
+    return events.filter(F.col(CORRUPT).isNotNull()).select("source_file", "event_type", CORRUPT)
 
 
 _AT = parse_moment
