@@ -139,10 +139,28 @@ class Driver:
 
     # --- movements -------------------------------------------------------------
 
+    def _lines(self) -> DataFrame:
+        """The lines, spread over the cores where the file does not split."""
+        lines = self.base("lineitem")
+        cores = self.spark.sparkContext.defaultParallelism
+        if lines.rdd.getNumPartitions() >= cores:
+            return lines
+        return lines.repartition(cores, "l_orderkey", "l_linenumber", "l_shipdate")
+
     def _l1(self) -> DataFrame:
+        """One row per order and line number.
+
+        ``hop`` repeats the line number as a window result: a filter on it
+        stays above the window, so all relations made from the lines share
+        one shuffle of them.
+        """
         window = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*_L1_ORDER)
+        hop = F.first("l_linenumber").over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return (
-            self.base("lineitem").withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
+            self["lines"]
+            .withColumns({"_rn": F.row_number().over(window), "hop": hop})
+            .filter("_rn = 1")
+            .drop("_rn")
         )
 
     def _orders(self) -> DataFrame:
@@ -161,9 +179,7 @@ class Driver:
         )
 
     def _hops(self) -> DataFrame:
-        return self["l1"].filter("l_linenumber <= 6").selectExpr(
-            "*", "l_orderkey * 8 + l_linenumber AS shipment_id", "l_linenumber AS hop"
-        )
+        return self["l1"].filter("hop <= 6").selectExpr("*", "l_orderkey * 8 + hop AS shipment_id")
 
     def _shipments(self) -> DataFrame:
         started = self.base("orders").select("o_orderkey", "o_orderdate")
@@ -196,13 +212,14 @@ class Driver:
     def _batches(self) -> DataFrame:
         return (
             self["l1"]
-            .filter("l_orderkey % 307 <> 0")
             .groupBy("l_orderkey")
             .agg(
                 F.min("l_partkey").alias("p"),
                 F.sum(F.col("l_quantity").cast("int")).cast("int").alias("quantity"),
                 F.min("l_shipdate").alias("harvested_at"),
+                F.max("l_orderkey").alias("kept"),  # a filter on the key would split the shared shuffle
             )
+            .filter("kept % 307 <> 0")
             .selectExpr(
                 "l_orderkey AS batch_id", "concat('BATCH-', l_orderkey) AS batch_identifier", "p AS product_id",
                 "'Ghana' AS origin_country", "quantity", "'BANANA_PLANTATION' AS supply_chain_node",

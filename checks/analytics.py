@@ -29,9 +29,25 @@ def _dims(d: Driver) -> star.Dimensions:
     )
 
 
-def fact(d: Driver) -> tuple[DataFrame, star.Dimensions]:
-    """Fact and dimensions; the dimensions are written first, as a load does."""
-    dims = _dims(d)
+def _ready_dims(d: Driver) -> star.Dimensions:
+    """Dimensions as an earlier load left them, keyed by the ids of their source."""
+    stamp = "event_timestamp AS source_created_at"
+    folded = d["suppliers"].selectExpr("supplier_id", "supplier_code", "supplier_name", "country AS supplier_country")
+    return star.Dimensions(
+        customer=d["customers"].selectExpr("customer_id AS customer_sk", "customer_number", "customer_name", "city", "country", stamp),
+        product=d["products"].join(folded, "supplier_id", "left").selectExpr(
+            "product_id AS product_sk", "product_code", "product_name", "category", "supplier_code", "supplier_name", "supplier_country"
+        ),
+        supplier=d["suppliers"].selectExpr("supplier_id AS supplier_sk", "supplier_code", "supplier_name", "country", stamp),
+        carrier=d["carriers"].selectExpr("carrier_id AS carrier_sk", "carrier_code", "carrier_name", stamp),
+        node=d["supply_chain_nodes"].selectExpr("node_id AS node_sk", "node_code", "node_name", "node_type", "region", "sequence_order"),
+        status=R.delivery_statuses(d.spark),
+    )
+
+
+def fact(d: Driver, loaded: bool = True) -> tuple[DataFrame, star.Dimensions]:
+    """Fact and dimensions; unless loaded before, the dimensions are built and written first."""
+    dims = _ready_dims(d) if loaded else _dims(d)
     t = d.tables
     rows = star.fact_fulfillment(
         t["orders"], t["order_items"], t["customers"], t["products"], t["suppliers"], t["shipments"], t["deliveries"],
@@ -41,7 +57,7 @@ def fact(d: Driver) -> tuple[DataFrame, star.Dimensions]:
 
 
 def _named_fact(d: Driver) -> DataFrame:
-    rows, dims = fact(d)
+    rows, dims = fact(d, loaded=False)
     return (
         rows.join(dims.customer.select("customer_sk", "customer_number"), "customer_sk")
         .join(dims.product.select("product_sk", "product_code"), "product_sk")
@@ -85,13 +101,13 @@ add(
 
 
 def _carrier_use(d: Driver) -> DataFrame:
-    rows, dims = fact(d)
+    rows, dims = fact(d, loaded=False)
     use = rows.filter("carrier_sk IS NOT NULL").groupBy("carrier_sk").agg(F.count("*").alias("fulfillments"))
     return dims.carrier.join(use, "carrier_sk", "left").na.fill(0, ["fulfillments"])
 
 
 def _node_use(d: Driver) -> DataFrame:
-    rows, dims = fact(d)
+    rows, dims = fact(d, loaded=False)
     use = rows.groupBy(F.col("destination_node_sk").alias("node_sk")).agg(F.count("*").alias("fulfillments"))
     return dims.node.join(use, "node_sk", "left").na.fill(0, ["fulfillments"])
 
