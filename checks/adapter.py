@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import uuid
 from datetime import datetime
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,6 +17,7 @@ from freightloom.operators import mdm
 from freightloom.operators.quality import Period
 from freightloom.session import configure, shared_dir
 from freightloom.sources import relations as R
+from freightloom.sources.constant import constant
 from freightloom.sources.events import EVENT_SCHEMA
 
 AS_OF = datetime(2001, 12, 31)
@@ -49,7 +49,10 @@ class Driver:
         self._built: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        key = f"base {name}"
+        if key not in self._built:
+            self._built[key] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._built[key]
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
@@ -66,14 +69,10 @@ class Driver:
             self._built[key] = self.spark.read.schema(df.schema).parquet(path)
         return self._built[key]
 
-    @cached_property
-    def tables(self) -> dict[str, DataFrame]:
-        names = [
-            "suppliers", "customers", "products", "orders", "order_items", "batches", "warehouse_skus",
-            "supply_chain_nodes", "node_processings", "carriers", "transport_product_references", "shipments",
-            "shipment_positions", "transport_completions", "deliveries", "source_mappings",
-        ]
-        return {n: self[n] for n in names}
+    @property
+    def tables(self) -> "Driver":
+        """The relations by name, each built when first asked for."""
+        return self
 
     # --- master data ---------------------------------------------------------
 
@@ -119,7 +118,7 @@ class Driver:
         )
 
     def _carriers(self) -> DataFrame:
-        rows = self.spark.createDataFrame(CARRIERS, "carrier_id long, carrier_code string, carrier_name string")
+        rows = constant(self.spark, CARRIERS, "carrier_id long, carrier_code string, carrier_name string")
         return rows.selectExpr("*", _stamp("carrier_id"))
 
     def _supply_chain_nodes(self) -> DataFrame:

@@ -14,6 +14,7 @@ from freightloom.operators import verification as ver
 from freightloom.plans import kpi, star
 from freightloom.plans import reports as rpt
 from freightloom.sources import relations as R
+from freightloom.sources.constant import constant
 
 # --- star schema -------------------------------------------------------------------------
 
@@ -497,7 +498,7 @@ _METRICS = [("shipments", "ge", "60"), ("node_processings", "ge", "60"), ("carri
 
 def _checks(d: Driver) -> DataFrame:
     metrics = ver.stack_rows([ver.metric(d[name], "tables", name) for name, _, _ in _METRICS])
-    expected = d.spark.createDataFrame([("tables", n, op, e) for n, op, e in _METRICS], "system string, name string, op string, expected string")
+    expected = constant(d.spark, [("tables", n, op, e) for n, op, e in _METRICS], "system string, name string, op string, expected string")
     return ver.check(metrics, expected)
 
 

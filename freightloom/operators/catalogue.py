@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from freightloom.functions.numbers import percentage
 from freightloom.operators.writes import insert_ignore
+from freightloom.sources.constant import constant
 from freightloom.sources.relations import catalogue_columns
 
 # System code and name.
@@ -110,12 +111,13 @@ NOT_FOREIGN_KEYS = [
 
 def systems(spark: SparkSession) -> DataFrame:
     """The registered systems."""
-    return spark.createDataFrame(SYSTEMS, "system_code string, system_name string")
+    return constant(spark, SYSTEMS, "system_code string, system_name string")
 
 
 def registered_tables(spark: SparkSession, existing: DataFrame | None = None) -> DataFrame:
     """The registered tables with their system, data category and source event."""
-    tables = spark.createDataFrame(
+    tables = constant(
+        spark,
         TABLES, "schema_name string, table_name string, data_category string, source_event string"
     )
     linked = tables.join(systems(spark), F.upper("schema_name") == F.col("system_code")).select(
@@ -228,7 +230,8 @@ def curated_entries(spark: SparkSession, schema: str, table: str, rows: list[tup
     Each row: column, type, description, category, scale level, quality
     rule, nullable, primary key, foreign key.
     """
-    entries = spark.createDataFrame(
+    entries = constant(
+        spark,
         rows,
         "column_name string, data_type string, description string, data_category string, scale_level string, "
         "quality_rule string, is_nullable boolean, is_pk boolean, is_fk boolean",

@@ -18,6 +18,7 @@ from freightloom.functions.keys import normalize_key
 from freightloom.functions.numbers import breaks_cold_chain, exact, mean
 from freightloom.operators.skew import bounded_lists, matched
 from freightloom.session import shared_dir
+from freightloom.sources.constant import constant
 from freightloom.sources.relations import carrier_node_types, graph_node_names, topology
 
 Tables = dict[str, DataFrame]
@@ -305,7 +306,7 @@ def shortest_path(
         F.col("properties")[mode].alias("mode"),
         F.col("properties")[weight].cast("double").alias("weight"),
     )
-    start = spark.createDataFrame([(src,)], "id string")
+    start = constant(spark, [(src,)], "id string")
     visited = start
     frontier = start
     levels: list[DataFrame] = []
@@ -386,7 +387,7 @@ def batch_path(nodes: DataFrame, edges: DataFrame, batch_identifier: str | None
 
 def fulfilment_chain(nodes: DataFrame, edges: DataFrame, hubs: DataFrame, order_reference: str) -> DataFrame:
     """Customer, order, batch, shipment and carrier of one order."""
-    order = edges.sparkSession.createDataFrame([(order_reference,)], "id string")
+    order = constant(edges.sparkSession, [(order_reference,)], "id string")
     triggered = expand(hubs, "TRIGGERED", order).select(F.col("src").alias("order_reference"), F.col("dst").alias("batch"))
     via = expand(hubs, "TRANSPORTED_VIA", triggered.select(F.col("batch").alias("id"))).select(
         F.col("src").alias("batch"), F.col("dst").alias("shipment")

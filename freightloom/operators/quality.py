@@ -19,6 +19,7 @@ from freightloom.functions.dates import moment
 from freightloom.functions.keys import match_key, tms_key, wms_key
 from freightloom.functions.numbers import breaks_cold_chain, percentage
 from freightloom.operators.skew import matched, orphan_keys, row_counts
+from freightloom.sources.constant import constant
 
 Tables = dict[str, DataFrame]
 
@@ -253,7 +254,8 @@ def violation_counts(t: Tables, period: Period, rules: list[str] | None = None)
 def dq_audit(t: Tables, period: Period, rules: list[str] | None = None) -> DataFrame:
     """One row per rule with its violations and PASS or FAIL."""
     counts = violation_counts(t, period, rules)
-    texts = counts.sparkSession.createDataFrame(
+    texts = constant(
+        counts.sparkSession,
         [(i, *r) for i, r in enumerate(RULES + MASTER_DATA_RULES, start=1)],
         "position int, number string, dimension string, table string, rule string",
     )

@@ -76,19 +76,14 @@ def read_events(
     if on_bad not in ("quarantine", "drop"):
         raise ValueError("on_bad must be 'quarantine' or 'drop'")
     path = f"{directory.rstrip('/')}/{system}" if system else directory
-    schema = T.StructType(EVENT_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
-    events = (
-        spark.read.schema(schema)
-        .option("multiLine", multi_line)
-        .option("pathGlobFilter", "*.json*")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-        .withColumn("source_file", F.col("_metadata.file_path"))
-    )
+    reader = spark.read.option("multiLine", multi_line).option("pathGlobFilter", "*.json*")
     if on_bad == "drop":
-        events = events.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    return events
+        events = reader.schema(EVENT_SCHEMA).option("mode", "DROPMALFORMED").json(path)
+    else:
+        schema = T.StructType(EVENT_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
+        reader = reader.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+        events = reader.json(path)
+    return events.withColumn("source_file", F.col("_metadata.file_path"))
 
 
 def corrupt_events(events: DataFrame) -> DataFrame:

@@ -9,31 +9,35 @@ from pyspark.sql import functions as F
 
 from freightloom import constants as C
 from freightloom.functions.dates import date_parts
+from freightloom.sources.constant import constant
 
 
 def supply_chain_nodes(spark: SparkSession) -> DataFrame:
     """The seven stations; the sequence doubles as key."""
     rows = [(seq, code, name, kind, region, seq) for code, name, kind, region, seq in C.NODES]
-    return spark.createDataFrame(
+    return constant(
+        spark,
         rows, "node_id int, node_code string, node_name string, node_type string, region string, sequence_order int"
     )
 
 
 def graph_node_names(spark: SparkSession) -> DataFrame:
     """Station names used in the graph."""
-    return spark.createDataFrame(list(C.GRAPH_NODE_NAMES.items()), "node_code string, graph_name string")
+    return constant(spark, list(C.GRAPH_NODE_NAMES.items()), "node_code string, graph_name string")
 
 
 def topology(spark: SparkSession) -> DataFrame:
     """The six hops with mode and typical duration."""
-    return spark.createDataFrame(
+    return constant(
+        spark,
         C.TOPOLOGY, "source_node string, target_node string, transport_mode string, typical_hours int"
     )
 
 
 def carrier_node_types(spark: SparkSession) -> DataFrame:
     """Which carrier serves which type of station by which mode."""
-    return spark.createDataFrame(
+    return constant(
+        spark,
         C.CARRIER_NODE_TYPES, "carrier_code string, transport_mode string, node_type string"
     )
 
@@ -41,14 +45,16 @@ def carrier_node_types(spark: SparkSession) -> DataFrame:
 def delivery_statuses(spark: SparkSession) -> DataFrame:
     """The four delivery statuses."""
     rows = [(i + 1, *row) for i, row in enumerate(C.DELIVERY_STATUSES)]
-    return spark.createDataFrame(
+    return constant(
+        spark,
         rows, "status_sk long, status_code string, status_name string, is_successful boolean, description string"
     )
 
 
 def entity_types(spark: SparkSession) -> DataFrame:
     """The five master-data entity types."""
-    return spark.createDataFrame(
+    return constant(
+        spark,
         C.ENTITY_TYPES, "entity_type_code string, entity_type_name string, source_schema string"
     )
 
@@ -85,7 +91,8 @@ def catalogue_columns(spark: SparkSession, schemas: dict[str, dict[str, DataFram
         for table, df in tables.items()
         for position, field in enumerate(df.schema.fields, start=1)
     ]
-    return spark.createDataFrame(
+    return constant(
+        spark,
         rows, "schema_name string, table_name string, column_name string, data_type string, ordinal_position int"
     )
 
