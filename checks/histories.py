@@ -285,21 +285,15 @@ add(
     WHERE product_id IN (SELECT product_id FROM v_batches) GROUP BY 1) ON ref = s.cargo_product_reference""",
 )
 add(
-    "GR-6_delivered_to_of_shipments",
-    "src:s dst:s delivery_status:s received_by:s",
-    lambda d: _delivered_of_successes(d),
-    """SELECT shipment_identifier AS src, customer_number AS dst, delivery_status, received_by FROM v_shipments s JOIN (SELECT shipment_id, delivery_status, received_by FROM v_deliveries WHERE delivery_status = 'UNKNOWN') USING (shipment_id)
-    JOIN (SELECT DISTINCT 'ban-' || product_id AS ref, customer_number FROM v_order_items JOIN v_orders USING (order_id) JOIN v_customers USING (customer_id) WHERE product_id IN (SELECT product_id FROM v_batches)) ON ref = s.cargo_product_reference""",
+    "GR-6_delivered_to_ends",
+    "side:s hub:s id:s delivery_status:s received_by:s",
+    lambda d: graph.hub_edges(d.tables).filter("type = 'DELIVERED_TO'").select(
+        "side", "hub", "id", F.col("properties")["delivery_status"].alias("delivery_status"), F.col("properties")["received_by"].alias("received_by")
+    ),
+    """SELECT 'src' AS side, upper(s.cargo_product_reference) AS hub, shipment_identifier AS id, delivery_status, received_by FROM v_shipments s JOIN (SELECT shipment_id, delivery_status, received_by FROM v_deliveries) USING (shipment_id)
+    WHERE s.cargo_product_reference IN (SELECT tms_product_reference FROM v_batches)
+    UNION ALL SELECT DISTINCT 'dst', 'BAN-' || product_id, customer_number, NULL, NULL FROM v_order_items JOIN v_orders USING (order_id) JOIN v_customers USING (customer_id) WHERE product_id IN (SELECT product_id FROM v_batches)""",
 )
-
-
-def _delivered_of_successes(d: Driver) -> DataFrame:
-    """Customers of the shipments whose status is none of the known ones."""
-    odd = d["deliveries"].filter("delivery_status = 'UNKNOWN'").join(d["shipments"].select("shipment_id", "shipment_identifier"), "shipment_id")
-    edges = graph.expand(graph.hub_edges(d.tables), "DELIVERED_TO", odd.select(F.col("shipment_identifier").alias("id")))
-    return edges.select("src", "dst", F.col("properties")["delivery_status"].alias("delivery_status"), F.col("properties")["received_by"].alias("received_by"))
-
-
 add(
     "GR-7_processed_at",
     "src:s dst:s temperature:d status:s processed_at:s",
@@ -356,12 +350,10 @@ add(
 )
 add(
     "GR-11_chain_summary",
-    "order_reference:s batches:i shipments:i carriers:i",
+    "order_reference:s batches:i shipments:i",
     lambda d: graph.fulfilment_chain_summary(_graph(d)[1], graph.hub_edges(d.tables)),
-    f"""WITH op AS {_OP}, nb AS (SELECT product_id, COUNT(*) AS b FROM v_batches GROUP BY 1), pc AS (SELECT CAST(substr(cargo_product_reference, 5) AS BIGINT) AS product_id, carrier_id, COUNT(*) AS n FROM v_shipments WHERE carrier_id IS NOT NULL GROUP BY ALL),
-    r AS (SELECT * FROM op JOIN nb USING (product_id) WHERE product_id IN (SELECT product_id FROM pc))
-    SELECT order_reference, batches, shipments, carriers FROM (SELECT order_reference, SUM(b) AS batches, SUM(s) AS shipments FROM r JOIN (SELECT product_id, SUM(n) AS s FROM pc GROUP BY 1) USING (product_id) GROUP BY 1)
-    JOIN (SELECT order_reference, COUNT(DISTINCT carrier_id) AS carriers FROM r JOIN pc USING (product_id) GROUP BY 1) USING (order_reference)""",
+    f"""SELECT order_reference, SUM(b) AS batches, SUM(s) AS shipments FROM {_OP} JOIN (SELECT product_id, COUNT(*) AS b FROM v_batches GROUP BY 1) USING (product_id)
+    JOIN (SELECT CAST(substr(cargo_product_reference, 5) AS BIGINT) AS product_id, COUNT(*) AS s FROM v_shipments WHERE carrier_id IS NOT NULL GROUP BY 1) USING (product_id) GROUP BY 1""",
 )
 _OPC = f"{_CONTAINS} JOIN v_orders USING (order_reference) JOIN v_customers USING (customer_id)"
 add("GR-12_order_products", "customer_number:s order_reference:s product_code:s delivery_priority:s", lambda d: graph.order_products(*_graph(d)), f"SELECT customer_number, order_reference, product_code, delivery_priority FROM {_OPC}")

@@ -406,10 +406,10 @@ def fulfilment_chain(nodes: DataFrame, edges: DataFrame, hubs: DataFrame, order_
 
 
 def fulfilment_chain_summary(edges: DataFrame, hubs: DataFrame) -> DataFrame:
-    """Per order: batches, shipments and distinct carriers its chain reaches.
+    """Per order: batches and carried shipments its chain reaches.
 
-    Batches and shipments of a product are counted at the hub; carriers are
-    reduced to distinct ones per product before they meet the orders.
+    Both are counted at the hub of each product, so an order adds one row
+    per product whatever the chain holds.
     """
     hub = hubs.filter(F.col("type") == "TRIGGERED")
     orders = hub.filter(F.col("side") == "src").select("hub", F.col("id").alias("order_reference"))
@@ -418,23 +418,15 @@ def fulfilment_chain_summary(edges: DataFrame, hubs: DataFrame) -> DataFrame:
         hubs.filter((F.col("type") == "TRANSPORTED_VIA") & (F.col("side") == "dst"))
         .select("hub", F.col("id").alias("shipment"))
         .join(of_type(edges, "TRANSPORTED_BY", "shipment", "carrier_code"), "shipment")
+        .groupBy("hub")
+        .agg(F.count("*").alias("shipments"))
     )
-    per_carrier = carried.groupBy("hub", "carrier_code").agg(F.count("*").alias("n"))
-    reach = orders.join(batches, "hub")
-    counts = (
-        reach.join(per_carrier.groupBy("hub").agg(F.sum("n").alias("shipments")), "hub")
+    reach = batches.join(carried, "hub")
+    return (
+        orders.join(reach, "hub")
         .groupBy("order_reference")
         .agg(F.sum("batches").alias("batches"), F.sum("shipments").alias("shipments"))
     )
-    carriers = (
-        reach.select("hub", "order_reference")
-        .join(per_carrier.select("hub", "carrier_code"), "hub")
-        .select("order_reference", "carrier_code")
-        .distinct()
-        .groupBy("order_reference")
-        .agg(F.count("*").alias("carriers"))
-    )
-    return counts.join(carriers, "order_reference")
 
 
 def order_products(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from freightloom.operators.skew import first_per_key, matched
 
 #: Hash buckets used to number keys; each is ordered by its own task.
-KEY_BUCKETS = 512
+KEY_BUCKETS = 4096
 
 
 def insert_ignore(
