@@ -91,16 +91,17 @@ def resolve_fuzzy(df: DataFrame, key_col: str, mappings: DataFrame, golden: Data
     among several canonical keys the smallest is taken. Each distinct key
     is resolved once.
     """
-    active = _active(mappings, golden)
-    exact = active.groupBy(F.col("source_key").alias("_raw")).agg(F.min("canonical_key").alias("_exact"))
-    loose = active.groupBy(F.col("normalized_key").alias("_norm")).agg(F.min("canonical_key").alias("_loose"))
+
+    def forms(exact, loose):
+        rows = [F.struct(F.lit(i).alias("form"), c.alias("key")) for i, c in enumerate((exact, loose))]
+        return F.explode(F.array(*rows)).alias("f")
+
+    known = _active(mappings, golden).select(forms(F.col("source_key"), F.col("normalized_key")), "canonical_key")
+    lookup = known.groupBy("f.form", "f.key").agg(F.min("canonical_key").alias("canonical_key"))
     keys = df.select(F.col(key_col).alias("_raw")).distinct()
-    resolved = (
-        keys.withColumn("_norm", match_key("_raw"))
-        .join(exact, "_raw", "left")
-        .join(loose, "_norm", "left")
-        .select("_raw", F.coalesce("_exact", "_loose").alias("canonical_key"))
-    )
+    asked = keys.select("_raw", forms(F.col("_raw"), match_key("_raw"))).select("_raw", "f.form", "f.key")
+    best = asked.join(lookup, ["form", "key"]).groupBy("_raw").agg(F.min(F.struct("form", "canonical_key")).alias("m"))
+    resolved = best.select("_raw", "m.canonical_key")
     return df.join(resolved, df[key_col] == resolved["_raw"], "left").drop("_raw")
 
 
