@@ -45,3 +45,103 @@ def simhash(spark: SparkSession, folder: str) -> DataFrame:
 
     found = near_duplicates(table(spark, folder, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lpad(hex_of("fp"), 16, "0").alias("fingerprint"), "component_id")
+
+
+def spans_text(spans):
+    """``kind:start:end`` of each span, joined by commas."""
+    return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+
+
+def span_digests(found: DataFrame, base: tuple[str, ...]) -> DataFrame:
+    """Counts and digest of the base kinds, and all spans as a text."""
+    spans = F.col("spans")
+    of_base = F.filter(spans, lambda s: s["kind"].isin(*base))
+
+    def count(kind: str):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        F.col("id").alias("doc_id"), *map(count, base), F.sha2(spans_text(of_base), 256).alias("base_sha256"), spans_text(spans).alias("spans")
+    )
+
+
+@query("op3_secret_scan")
+def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    from freightloom.llm.secret_scan import find_secrets
+
+    return span_digests(find_secrets(table(spark, folder, "documents")), ("assign", "access", "hex"))
+
+
+def token_digests(found: DataFrame) -> DataFrame:
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2(F.col("bytes"), 256).alias("decoded_sha256"),
+    )
+
+
+def byte_bpe_of(docs: DataFrame) -> DataFrame:
+    """Counts and digests of the 50k byte-level vocabulary, encoded and decoded again."""
+    import public_tokenizers
+
+    from freightloom.llm.byte_bpe import round_trip
+
+    return token_digests(round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
+
+
+@query("op5_byte_bpe")
+def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_bpe_of(table(spark, folder, "documents"))
+
+
+@query("op8_personal_data")
+def personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    from freightloom.llm.personal_data import TAGGED, find_personal_data, train_on
+    from freightloom.llm.personal_examples import SENTENCES
+
+    chain = train_on(spark.createDataFrame([(s,) for s in SENTENCES], "marked string"))
+    return span_digests(find_personal_data(table(spark, folder, "documents"), chain), TAGGED)
+
+
+@query("op6_html_text")
+def html_text(spark: SparkSession, folder: str) -> DataFrame:
+    from freightloom.llm.html_text import extract
+
+    found = extract(table(spark, folder, "pages"))
+    return found.select(F.col("id").alias("page_id"), "text", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
+def url_sql() -> str:
+    """The rules as prefix and LIKE conditions."""
+    from freightloom.llm.url_filter import HOSTED, LOWER, PATTERNS, UPPER
+
+    hosted = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in HOSTED)
+    patterns = ", ".join("('{}', '{}', '{}')".format(p, "%" + p.replace("_", "!_").replace("*", "%") + "%", v) for p, v in PATTERNS)
+    return f"""
+        WITH cut AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN url[instr(url, '://') + 3:] ELSE '' END AS rest FROM pages),
+        whole AS (SELECT row_number() OVER () AS n, page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+                         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, rest FROM cut),
+        hosted(h, p, v) AS (VALUES {hosted}),
+        patterns(pattern, likes, v) AS (VALUES {patterns}),
+        ruled AS (SELECT n, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS verdict FROM whole, hosted
+                  WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY n),
+        matched AS (SELECT n, arg_max(pattern, (length(pattern), pattern)) AS pattern, arg_max(v, (length(pattern), pattern)) AS verdict FROM whole, patterns
+                    WHERE lower(host || regexp_extract(rest, '(?s)^[^/?#]*(.*)$', 1)) LIKE likes ESCAPE '!' GROUP BY n)
+        SELECT page_id, host, path, rule, CASE WHEN rule IS NULL THEN pattern END AS pattern, coalesce(ruled.verdict, matched.verdict, 'allow') AS verdict
+        FROM whole LEFT JOIN ruled USING (n) LEFT JOIN matched USING (n)"""
+
+
+@query("op2_url_filter", url_sql())
+def url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    from freightloom.llm.url_filter import judge, rule_table
+
+    return judge(table(spark, folder, "pages"), rule_table(spark)).withColumnRenamed("id", "page_id")
+
+
+@query("op7_decontamination")
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    from freightloom.llm.decontaminate import find_leaks
+
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")).withColumnRenamed("id", "doc_id")
