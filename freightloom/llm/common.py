@@ -49,6 +49,11 @@ def field_of(df: DataFrame, column: str, alias: str | None = None):
     return StructField(alias or column, df.schema[column].dataType, True)
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """The columns of a table, whatever signs are in their names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def row_key(id_column: str) -> Column:
     """The id as a text that is never null."""
     return F.coalesce(F.concat(F.lit("="), F.col(id_column).cast("string")), F.lit(""))
@@ -62,4 +67,4 @@ def keep_rows(docs: DataFrame, kept: DataFrame, id_column: str, text_column: str
     """
     left = docs.withColumns({"__key": row_key(id_column), "__digest": digest_of(text_column)})
     right = kept.select(row_key("id").alias("__key"), F.col("digest").alias("__digest"))
-    return left.join(right, ["__key", "__digest"], "left_semi").dropDuplicates(["__key", "__digest"]).select(*docs.columns)
+    return left.join(right, ["__key", "__digest"], "left_semi").dropDuplicates(["__key", "__digest"]).select(*columns_of(docs))

@@ -145,3 +145,77 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     from freightloom.llm.decontaminate import find_leaks
 
     return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")).withColumnRenamed("id", "doc_id")
+
+
+CATEGORIES = ("low_quality", "toxic")
+
+
+def toxicity_chain(docs: DataFrame, labels: DataFrame):
+    """The chain over the two judgements that the labels hold: poor quality first, then toxicity."""
+    from freightloom.llm.toxicity import train
+
+    return train(docs, labels.withColumn("low_quality", 1 - F.col("quality")), CATEGORIES)
+
+
+@query("op4_toxicity")
+def toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from freightloom.llm.toxicity import judge
+
+    docs = table(spark, folder, "documents")
+    chain = toxicity_chain(docs, table(spark, folder, "labels"))
+    found = judge(docs.select("doc_id", "text"), chain)
+    return found.select("doc_id", F.round("p_low_quality", 6).alias("p_low_quality"), F.round("p_toxic", 6).alias("p_toxic"), "toxic")
+
+
+SPACE_WORDS = "[^\\x20\\x09-\\x0D]+"
+PIECES = "[A-Za-z]+|[0-9]|[^\\x00-\\x7F]+"
+SIGNS = "|[!-/:-@\\[-`{-~]"
+LEAST_WORDS = 5
+
+
+def counts_sql() -> str:
+    def n(pattern: str) -> str:
+        return f"len(regexp_extract_all(coalesce(text, ''), '{pattern}'))"
+
+    return f"""
+        WITH counted AS (SELECT source, lang, {n(SPACE_WORDS)} AS words, {n(PIECES + SIGNS)} AS pieces FROM documents)
+        SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens FROM (
+            SELECT source, lang, 'words-1' AS tokenizer, words AS n FROM counted WHERE words >= {LEAST_WORDS}
+            UNION ALL SELECT source, lang, 'pieces-1', pieces FROM counted WHERE words >= {LEAST_WORDS}) GROUP BY ALL"""
+
+
+@query("op9_token_counts", counts_sql())
+def token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals after four batches: two loads, a correction that also counts signs, and the withdrawal of very short texts.
+
+    Each batch is committed twice, as after a failure; the second time changes nothing.
+    """
+    import uuid
+
+    from freightloom.llm.common import shared_dir, staged, text_of
+    from freightloom.llm.token_counts import Rollup
+
+    def n(pattern: str):
+        return F.regexp_count(text_of("text"), F.lit(pattern)).cast("long")
+
+    docs = table(spark, folder, "documents")
+    counted = docs.select("source", "lang", n(SPACE_WORDS).alias("words"), n(PIECES).alias("first"), n(PIECES + SIGNS).alias("pieces"))
+    counted = staged(counted, "counted")
+
+    def change(op: str, tokenizer: str, now: str, old: str | None = None, rows: DataFrame = counted) -> DataFrame:
+        before = F.col(old) if old else F.lit(None).cast("long")
+        return rows.select("source", "lang", F.lit(tokenizer).alias("tokenizer"), F.lit(op).alias("op"), F.col(now).alias("n_tokens"), before.alias("old_tokens"))
+
+    short = counted.filter(F.col("words") < LEAST_WORDS)
+    withdrawn = change("delete", "words-1", "words", rows=short).unionByName(change("delete", "pieces-1", "pieces", rows=short))
+    batches = {
+        "load words": change("insert", "words-1", "words"),
+        "load pieces": change("insert", "pieces-1", "first"),
+        "count signs": change("revise", "pieces-1", "pieces", "first"),
+        "withdraw short": withdrawn,
+    }
+    rollup = Rollup(spark, f"{shared_dir(spark).rstrip('/')}/rollup-{uuid.uuid4().hex}")
+    for _ in range(2):
+        for name, changes in batches.items():
+            rollup.commit(name, changes)
+    return rollup.totals()
