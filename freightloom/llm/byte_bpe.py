@@ -2,9 +2,13 @@
 
 A pre-token is merged with a queue of merge ranks. Each rank that is waiting
 has a bucket of linked-list positions; which ranks wait is kept in a bitmap of
-three levels, and finding the first set bit on each level gives the lowest
-rank. An entry whose pair has changed since is stale and skipped. A merge thus
-costs about the same in a pre-token of ten bytes and in one of ten million.
+two levels of wide words, and finding the first set bit on each level gives the
+lowest rank. An entry whose pair has changed since is stale and skipped. A
+merge thus costs about the same in a pre-token of ten bytes and in one of ten
+million.
+
+Ids of pre-tokens seen before are remembered, in two generations of bounded
+size, by each Python worker for as long as it lives.
 """
 
 from __future__ import annotations
@@ -12,21 +16,25 @@ from __future__ import annotations
 import base64
 from collections.abc import Callable, Iterator
 from heapq import heappop, heappush
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 from freightloom.llm.common import field_of, slices, text_of
 
-#: Pre-tokens a task remembers before it starts afresh.
-REMEMBERED = 200_000
+#: Pre-tokens of a generation that a worker remembers.
+REMEMBERED = 400_000
 #: Longer pre-tokens are merged anew each time, to bound what is remembered.
 LONGEST_REMEMBERED = 64
-WORD = 64
+#: Bits of a word of the bitmap, as a power of two.
+BITS = 8
+MASK = (1 << BITS) - 1
+ID = np.dtype("<i4")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -35,112 +43,114 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
-class RankQueue:
-    """Positions by rank; the lowest rank first, and of one rank the leftmost position."""
-
-    def __init__(self, ranks: int):
-        words = ranks // WORD + 1
-        self.low = [0] * words
-        self.middle = [0] * (words // WORD + 1)
-        self.top = 0
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        word, block = rank // WORD, rank // (WORD * WORD)
-        self.low[word] |= 1 << rank % WORD
-        self.middle[block] |= 1 << word % WORD
-        self.top |= 1 << block
-
-    def pop(self) -> tuple[int, int] | None:
-        if not self.top:
-            return None
-        block = (self.top & -self.top).bit_length() - 1
-        bits = self.middle[block]
-        word = block * WORD + (bits & -bits).bit_length() - 1
-        bits = self.low[word]
-        rank = word * WORD + (bits & -bits).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[word] &= bits - 1
-            if not self.low[word]:
-                self.middle[block] &= self.middle[block] - 1
-                if not self.middle[block]:
-                    self.top &= self.top - 1
-        return rank, position
-
-
-class Encoder:
-    """Ids of texts by a table of ranks; the pattern splits the text, each match is merged by itself."""
+class Encoder(dict):
+    """Ids of texts by a table of ranks; the pattern splits the text, each match is merged by itself.
+
+    The dictionary holds the ids of pre-tokens as bytes of 32-bit numbers.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks = ranks
-        self.find = regex.compile(pattern).findall
-        self.queue = RankQueue(max(ranks.values(), default=0) + 1)
-        self.known: dict[str, list[int]] = {}
+        super().__init__()
+        self.ranks, self.pattern = ranks, pattern
+        self.low = [0] * ((max(ranks.values(), default=0) >> BITS) + 1)
+        self.older: dict[str, bytes] = {}
+
+    def __reduce__(self):
+        return Encoder, (self.ranks, self.pattern)  # what is remembered does not travel
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = np.array(self.merge(piece.encode()), dtype=ID).tobytes()
+        if len(piece) <= LONGEST_REMEMBERED:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
 
     def merge(self, piece: bytes) -> list[int]:
-        rank_of, push, pop = self.ranks.get, self.queue.push, self.queue.pop
+        """Ids of one pre-token: always the pair of lowest rank is merged, of several the leftmost.
+
+        ``low`` has a bit for each waiting rank and ``top`` one for each word of
+        ``low`` that is not zero; ``buckets`` holds the positions of each
+        waiting rank as a heap. All three are empty again at the end. The queue
+        is written out here, since a call for each step would double the time.
+        """
+        rank_of, low = self.ranks.get, self.low
         whole = rank_of(piece)
         if whole is not None:
             return [whole]
         n = len(piece)
-        tokens: list[bytes] = [piece[i : i + 1] for i in range(n)]
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        pair: list[int | None] = [rank_of(piece[i : i + 2]) for i in range(n - 1)]  # rank of a node with the next one
+        tokens = [piece[i : i + 1] for i in range(n)]
+        pair = list(map(rank_of, map(add, tokens, tokens[1:])))  # rank of a node with the next one
         pair.append(None)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        buckets: dict[int, list[int]] = {}
+        top = 0
         for i, rank in enumerate(pair):
             if rank is not None:
-                push(rank, i)
-        while (entry := pop()) is not None:
-            rank, i = entry
+                if rank in buckets:
+                    buckets[rank].append(i)
+                else:
+                    buckets[rank] = [i]
+                    word = rank >> BITS
+                    low[word] |= 1 << (rank & MASK)
+                    top |= 1 << word
+        while top:
+            word = (top & -top).bit_length() - 1
+            bits = low[word]
+            rank = (word << BITS) + (bits & -bits).bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
+                del buckets[rank]
+                low[word] = bits = bits & (bits - 1)
+                if not bits:
+                    top &= top - 1
             if pair[i] != rank:
-                continue
+                continue  # stale
             j = after[i]
-            tokens[i] += tokens[j]
-            pair[j] = None
+            token = tokens[i] = tokens[i] + tokens[j]
+            tokens[j] = pair[j] = None
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                pair[i] = rank = rank_of(tokens[i] + tokens[k])
+                pair[i] = rank = rank_of(token + tokens[k])
                 if rank is not None:
-                    push(rank, i)
+                    if rank in buckets:
+                        heappush(buckets[rank], i)
+                    else:
+                        buckets[rank] = [i]
+                        word = rank >> BITS
+                        low[word] |= 1 << (rank & MASK)
+                        top |= 1 << word
             else:
                 pair[i] = None
             h = before[i]
             if h >= 0:
-                pair[h] = rank = rank_of(tokens[h] + tokens[i])
+                pair[h] = rank = rank_of(tokens[h] + token)
                 if rank is not None:
-                    push(rank, h)
-        ids, i = [], 0
-        while i < n:
-            ids.append(self.ranks[tokens[i]])
-            i = after[i]
-        return ids
-
-    def encode(self, text: str) -> list[int]:
-        known, ids = self.known, []
-        for piece in self.find(text):
-            got = known.get(piece)
-            if got is None:
-                got = self.merge(piece.encode())
-                if len(piece) <= LONGEST_REMEMBERED:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[piece] = got
-            ids += got
-        return ids
-
-
-def lists_of_ints(lists: list[list[int]]) -> pa.Array:
+                    if rank in buckets:
+                        heappush(buckets[rank], h)
+                    else:
+                        buckets[rank] = [h]
+                        word = rank >> BITS
+                        low[word] |= 1 << (rank & MASK)
+                        top |= 1 << word
+        return [self.ranks[token] for token in tokens if token is not None]
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a text, in order."""
+        pieces = regex.findall(self.pattern, text)
+        return np.frombuffer(b"".join(map(self.__getitem__, pieces)), dtype=ID)
+
+
+def lists_of_ints(lists: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0, *map(len, lists)])
-    flat = np.concatenate([np.array(ids, dtype=np.int32) for ids in lists]) if lists else np.array([], dtype=np.int32)
+    flat = np.concatenate(lists) if lists else np.array([], dtype=ID)
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
 
 
@@ -164,11 +174,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_column: str = "doc
     their result; other columns are ignored. The rank table (about a
     megabyte, fixed by the vocabulary) is read on the driver and broadcast.
     """
-    ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    encoder = docs.sparkSession.sparkContext.broadcast(Encoder(read_ranks(ranks_path), pattern))
 
     def work():
-        encoder = Encoder(ranks.value, pattern)
-        return lambda texts: lists_of_ints([encoder.encode(text) for text in texts])
+        return lambda texts: lists_of_ints([encoder.value.encode(text) for text in texts])
 
     return _map(docs.select(F.col(id_column).alias("id"), text_of(text_column).alias("text")), "ids", ArrayType(IntegerType()), work)
 
@@ -186,17 +195,16 @@ def decode(encoded: DataFrame, ranks_path: str, id_column: str = "id", ids_colum
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``id, ids, bytes``: texts encoded, and the ids decoded again."""
-    session: SparkSession = docs.sparkSession
-    ranks = session.sparkContext.broadcast(read_ranks(ranks_path))
+    encoder = docs.sparkSession.sparkContext.broadcast(Encoder(read_ranks(ranks_path), pattern))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(ranks.value, pattern)
-        token = {rank: token for token, rank in ranks.value.items()}.__getitem__
+        encode = encoder.value.encode
+        token = {rank: token for token, rank in encoder.value.ranks.items()}.__getitem__
         for batch in batches:
             for part in slices(batch):
-                lists = lists_of_ints([encoder.encode(text) for text in part.column(1).to_pylist()])
-                decoded = [b"".join(map(token, ids)) for ids in lists.to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array(decoded, pa.binary())], ["id", "ids", "bytes"])
+                lists = [encode(text) for text in part.column(1).to_pylist()]
+                decoded = [b"".join(map(token, ids.tolist())) for ids in lists]
+                yield pa.RecordBatch.from_arrays([part.column(0), lists_of_ints(lists), pa.array(decoded, pa.binary())], ["id", "ids", "bytes"])
 
     source = docs.select(F.col(id_column).alias("id"), text_of(text_column).alias("text"))
     return source.mapInArrow(run, StructType([field_of(source, "id"), StructField("ids", ArrayType(IntegerType())), StructField("bytes", BinaryType())]))
