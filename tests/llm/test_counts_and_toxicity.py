@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -99,10 +100,40 @@ def test_later_models_see_out_of_fold_probabilities(spark):
     docs, labels, _ = corpus(spark, 400)
     chain = tox.train(docs, labels, ("low_quality", "toxic"))
     first, second = chain.models
-    words = len(chain.vocabulary.vocabulary)
-    assert first.numFeatures == words and second.numFeatures == words + 1
+    assert len(first.before) == 0 and len(second.before) == 1
     again = tox.train(docs.repartition(5), labels.repartition(3), ("low_quality", "toxic"))
-    assert sorted(again.vocabulary.vocabulary) == sorted(chain.vocabulary.vocabulary)
+    assert again.vocabulary == chain.vocabulary
+    assert all((a.words == b.words).all() and (a.before == b.before).all() for a, b in zip(again.models, chain.models))
+
+
+def test_probabilities_of_a_memorised_category_do_not_leak_into_the_next():
+    """A first category of pure chance is fitted from words that name their rows; out of fold it must tell nothing."""
+    dice = np.random.default_rng(1)
+    chance = dice.integers(0, 2, 200).astype(float)
+    rows = tox.Rows([np.array([i]) for i in range(200)])
+    none = np.zeros((200, 0))
+    seen = tox.fit(rows, none, chance, 200, penalty=1e-6, rounds=400)
+    assert np.corrcoef(seen.predict(rows.dot(seen.words), none), chance)[0, 1] > 0.9
+    fold = np.arange(200) % 2
+    unseen = np.zeros(200)
+    for f in (0, 1):
+        model = tox.fit(rows.pick(fold != f), none[fold != f], chance[fold != f], 200, penalty=1e-6, rounds=400)
+        unseen[fold == f] = model.predict(rows.pick(fold == f).dot(model.words), none[fold == f])
+    assert unseen[fold == 0].std() < 1e-9 > unseen[fold == 1].std()
+
+
+def test_fit_against_the_conditions_of_the_optimum():
+    dice = np.random.default_rng(2)
+    lists = [np.flatnonzero(dice.random(12) < 0.3) for _ in range(300)]
+    rows, truth = tox.Rows(lists), np.array([float((0 in x) or (3 in x and dice.random() < 0.5)) for x in lists])
+    before = dice.random((300, 1))
+    model = tox.fit(rows, before, truth, 12, penalty=0.01, rounds=4000)
+    gap = (model.predict(rows.dot(model.words), before) - truth) / 300
+    slope = rows.back(gap, 12)
+    assert abs(gap.sum()) < 1e-5 and abs(gap @ before[:, 0]) < 1e-5
+    assert np.all(np.abs(slope[model.words == 0]) <= 0.01 + 1e-5)
+    on = model.words != 0
+    assert on.any() and np.allclose(slope[on], -0.01 * np.sign(model.words[on]), atol=1e-5)
 
 
 def test_odd_inputs(spark):
