@@ -139,12 +139,7 @@ class Driver:
     # --- movements -------------------------------------------------------------
 
     def _lines(self) -> DataFrame:
-        """The lines, spread over the cores where the file does not split."""
-        lines = self.base("lineitem")
-        cores = self.spark.sparkContext.defaultParallelism
-        if lines.rdd.getNumPartitions() >= cores:
-            return lines
-        return lines.repartition(cores, "l_orderkey", "l_linenumber", "l_shipdate")
+        return self.base("lineitem")
 
     def _l1(self) -> DataFrame:
         """One row per order and line number.
@@ -155,12 +150,13 @@ class Driver:
         """
         window = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*_L1_ORDER)
         hop = F.first("l_linenumber").over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return (
-            self["lines"]
-            .withColumns({"_rn": F.row_number().over(window), "hop": hop})
-            .filter("_rn = 1")
-            .drop("_rn")
-        )
+        return self["lines"].withColumns({"_rn": F.row_number().over(window), "hop": hop}).filter("_rn = 1").drop("_rn")
+
+    def _last_hops(self) -> DataFrame:
+        """The lines of the last hop; the filter on the line number reaches the scan."""
+        window = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*_L1_ORDER)
+        lines = self["lines"].filter("l_linenumber = 6").withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
+        return lines.selectExpr("*", "l_linenumber AS hop", "l_orderkey * 8 + l_linenumber AS shipment_id")
 
     def _orders(self) -> DataFrame:
         return self.base("orders").selectExpr(
@@ -178,6 +174,7 @@ class Driver:
         )
 
     def _hops(self) -> DataFrame:
+        """Seven stations make six hops: a seventh line of an order is an order line, and no leg of its batch."""
         return self["l1"].filter("hop <= 6").selectExpr("*", "l_orderkey * 8 + hop AS shipment_id")
 
     def _shipments(self) -> DataFrame:
@@ -199,7 +196,7 @@ class Driver:
         )
 
     def _deliveries(self) -> DataFrame:
-        return self["hops"].filter("hop = 6").selectExpr(
+        return self["last_hops"].selectExpr(
             "shipment_id AS delivery_id", "shipment_id", "'RETAIL_STORE' AS supply_chain_node",
             "CASE WHEN l_suppkey % 89 = 0 THEN 'UNKNOWN' WHEN l_returnflag = 'N' THEN 'SUCCESSFUL' "
             "WHEN l_returnflag = 'A' THEN 'DELAYED' ELSE 'FAILED' END AS delivery_status",

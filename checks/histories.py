@@ -17,8 +17,19 @@ from freightloom.streaming import live as stream
 # --- lifecycle documents -----------------------------------------------------------------
 
 
+def _shipment(d: Driver) -> tuple[DataFrame, ...]:
+    return d["started"], d["positions"], d["completed"], d["delivered"]
+
+
 def _lifecycle(d: Driver) -> DataFrame:
-    return lifecycle.shipment_lifecycle(d["started"], d["positions"], d["completed"], d["delivered"])
+    return lifecycle.shipment_lifecycle(*_shipment(d))
+
+
+def _batches(d: Driver) -> DataFrame:
+    return lifecycle.batch_documents(d["batch_events"], d["processing_events"], d["supply_chain_nodes"])
+
+
+_DAY = "CAST(strftime({0}, '%Y%m%d') AS INTEGER)"
 
 
 _FIRST = "SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY shipment_identifier ORDER BY event_timestamp) AS r FROM {0}) WHERE r = 1"
@@ -37,17 +48,17 @@ add(
     "DOC-1_shipment_lifecycle",
     "shipment_identifier:s cargo_product_reference:s source_node:s target_node:s transport_mode:s carrier_id:s estimated_arrival:t started_at:t delivery_status:s "
     "delay_minutes:i completed_at:t created_at:t updated_at:t part:i events:s",
-    lambda d: _lifecycle(d).withColumn("carrier_id", F.col("carrier.carrier_id")).withColumn(
+    lambda d: _lifecycle(d).join(lifecycle.shipment_events(*_shipment(d)), "shipment_identifier").withColumn("carrier_id", F.col("carrier.carrier_id")).withColumn(
         "events",
         F.array_join(F.transform("events", lambda e: F.concat(F.date_format(e.timestamp, "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit(" "), e.event_type)), "|"),
     ),
-    f"""SELECT d.*, 0 AS part, events FROM ({_DOCS}) d JOIN (SELECT shipment_identifier, string_agg(strftime(event_timestamp, '%Y-%m-%d %H:%M:%S.%f') || ' ' || event_type, '|' ORDER BY event_timestamp, rank) AS events
-    FROM ({_EVENTS}) GROUP BY 1) USING (shipment_identifier)""",
+    f"""SELECT d.*, part, events FROM ({_DOCS}) d JOIN (SELECT shipment_identifier, {_DAY.format('event_timestamp')} AS part, string_agg(strftime(event_timestamp, '%Y-%m-%d %H:%M:%S.%f') || ' ' || event_type, '|' ORDER BY event_timestamp, rank) AS events
+    FROM ({_EVENTS}) GROUP BY 1, 2) USING (shipment_identifier)""",
 )
 add(
     "DOC-1_embedded_positions",
     "shipment_identifier:s event_timestamp:t latitude:d longitude:d container_temperature:d speed_kmh:d",
-    lambda d: _lifecycle(d)
+    lambda d: lifecycle.shipment_events(*_shipment(d))
     .select("shipment_identifier", F.explode("events").alias("e"))
     .filter("e.event_type = 'ShipmentPositionUpdated'")
     .select("shipment_identifier", F.col("e.timestamp").alias("event_timestamp"), "e.latitude", "e.longitude", "e.container_temperature", "e.speed_kmh"),
@@ -64,17 +75,17 @@ add(
 add(
     "DOC-3_batch_tracking",
     "batch_identifier:s erp_product_code:s wms_sku:s tms_product_reference:s origin_country:s quantity:i harvested_at:t current_node:s part:i nodes_processed:s updated_at:t",
-    lambda d: lifecycle.batch_documents(d["batch_events"], d["processing_events"], d["supply_chain_nodes"]).withColumn(
+    lambda d: _batches(d).join(lifecycle.batch_stations(d["processing_events"]), "batch_identifier", "left").withColumn(
         "nodes_processed",
         F.array_join(
             F.transform("nodes_processed", lambda n: F.concat_ws(" ", F.date_format(n.processed_at, "yyyy-MM-dd"), n.node, F.coalesce(n.temperature.cast("string"), F.lit("-")), n.status)), "|"
         ),
     ),
     f"""SELECT COALESCE(b.batch_identifier, n.batch_reference) AS batch_identifier, 'BAN-' || b.product_id AS erp_product_code, wms_sku, tms_product_reference, origin_country, quantity, harvested_at,
-    COALESCE(n.current_node, b.supply_chain_node) AS current_node, 0 AS part, COALESCE(n.nodes, '') AS nodes_processed, n.updated_at FROM v_batches b FULL JOIN (
-    SELECT batch_reference, MAX(processed_at) AS updated_at, arg_max(node_code, (processed_at, node_id)) AS current_node,
-    string_agg(strftime(processed_at, '%Y-%m-%d') || ' ' || node_code || ' ' || COALESCE(CAST(temperature AS VARCHAR), '-') || ' ' || status, '|' ORDER BY processed_at, node_code) AS nodes
-    FROM {_NODE_OF} GROUP BY 1) n ON n.batch_reference = b.batch_identifier""",
+    COALESCE(n.current_node, b.supply_chain_node) AS current_node, p.part, p.nodes AS nodes_processed, n.updated_at FROM v_batches b FULL JOIN (
+    SELECT batch_reference, MAX(processed_at) AS updated_at, arg_max(node_code, (processed_at, node_id)) AS current_node FROM {_NODE_OF} GROUP BY 1) n ON n.batch_reference = b.batch_identifier
+    LEFT JOIN (SELECT batch_reference, {_DAY.format('processed_at')} AS part, string_agg(strftime(processed_at, '%Y-%m-%d') || ' ' || node_code || ' ' || COALESCE(CAST(temperature AS VARCHAR), '-') || ' ' || status, '|' ORDER BY processed_at, node_code) AS nodes
+    FROM {_NODE_OF} GROUP BY 1, 2) p ON p.batch_reference = n.batch_reference""",
 )
 add(
     "DOC-4_order_documents",
@@ -114,7 +125,7 @@ add(
     "VER-12_structure",
     "check_name:s documents:i broken:i",
     lambda d: structure_checks(
-        _lifecycle(d), lifecycle.batch_documents(d["batch_events"], d["processing_events"], d["supply_chain_nodes"]),
+        _lifecycle(d), lifecycle.shipment_events(*_shipment(d)), _batches(d), lifecycle.batch_stations(d["processing_events"]),
         lifecycle.node_documents(d["processing_events"]),
     ).withColumnRenamed("check", "check_name"),
     """SELECT 'shipment_events.events' AS check_name, COUNT(DISTINCT shipment_identifier) AS documents, 0 AS broken FROM v_started
@@ -217,10 +228,10 @@ def _heads(d: Driver) -> DataFrame:
 add(
     "MAN-7_order_texts",
     "order_id:i part:i invoice_text:s delivery_text:s total:d",
-    lambda d: manifest.order_texts(_heads(d), d["order_items"].filter("unit_price IS NOT NULL"), d["products"]),
-    r"""SELECT order_id, 0 AS part, 'INVOICE ' || order_id || chr(10) || customer_name || ' (' || city || ')' || chr(10) || chr(10) || string_agg(product_name || ' x ' || quantity || ' = ' || CAST(quantity * unit_price AS DECIMAL(18,2)), chr(10) ORDER BY product_name, product_id, quantity)
-    || chr(10) || chr(10) || 'TOTAL: ' || CAST(SUM(quantity * unit_price) AS DECIMAL(18,2)) AS invoice_text, 'DELIVERY ' || order_id || chr(10) || 'Warehouse: Warehouse ' || (order_id % 25) || chr(10) || chr(10) || string_agg(product_name || ' -> ' || quantity, chr(10) ORDER BY product_name, product_id, quantity) AS delivery_text,
-    SUM(quantity * unit_price) AS total FROM v_orders JOIN v_customers USING (customer_id) JOIN v_order_items USING (order_id) JOIN v_products USING (product_id) WHERE unit_price IS NOT NULL GROUP BY order_id, customer_name, city""",
+    lambda d: manifest.order_texts(_heads(d), d["order_items"].withColumn("position", F.expr("CAST(item_id % 8 - 1 AS INT)")), d["products"]),
+    r"""SELECT order_id, 0 AS part, 'INVOICE ' || order_id || chr(10) || customer_name || ' (' || city || ')' || chr(10) || chr(10) || string_agg(product_name || ' x ' || quantity || ' = ' || COALESCE(CAST(CAST(quantity * unit_price AS DECIMAL(18,2)) AS VARCHAR), '–'), chr(10) ORDER BY product_name, product_id, quantity)
+    || chr(10) || chr(10) || 'TOTAL: ' || COALESCE(CAST(CAST(SUM(quantity * unit_price) AS DECIMAL(18,2)) AS VARCHAR), '–') AS invoice_text, 'DELIVERY ' || order_id || chr(10) || 'Warehouse: Warehouse ' || (order_id % 25) || chr(10) || chr(10) || string_agg(product_name || ' -> ' || quantity, chr(10) ORDER BY product_name, product_id, quantity) AS delivery_text,
+    SUM(quantity * unit_price) AS total FROM v_orders JOIN v_customers USING (customer_id) JOIN v_order_items USING (order_id) JOIN v_products USING (product_id) GROUP BY order_id, customer_name, city""",
 )
 
 # --- graph ------------------------------------------------------------------------------------------
@@ -406,13 +417,13 @@ add(
     "GR-21_supplier_codes",
     "label:s part:i total:i ids:s",
     lambda d: graph.collected_codes(_graph(d)[0], "Supplier").withColumn("ids", F.array_join("ids", "|")),
-    "SELECT 'Supplier' AS label, 0 AS part, COUNT(*) AS total, string_agg(supplier_code, '|' ORDER BY supplier_code) AS ids FROM v_suppliers",
+    "SELECT 'Supplier' AS label, CAST(regexp_extract(supplier_code, '([0-9]+)[^0-9]*$', 1) AS BIGINT) // 1000 AS part, SUM(COUNT(*)) OVER () AS total, string_agg(supplier_code, '|' ORDER BY supplier_code) AS ids FROM v_suppliers GROUP BY 2",
 )
 add(
     "GR-21_product_codes",
     "label:s part:i total:i ids:s",
     lambda d: graph.collected_codes(_graph(d)[0], "Product").withColumn("ids", F.array_join("ids", "|")),
-    "SELECT 'Product' AS label, 0 AS part, COUNT(*) AS total, string_agg(product_code, '|' ORDER BY product_code) AS ids FROM v_products",
+    "SELECT 'Product' AS label, CAST(regexp_extract(product_code, '([0-9]+)[^0-9]*$', 1) AS BIGINT) // 1000 AS part, SUM(COUNT(*)) OVER () AS total, string_agg(product_code, '|' ORDER BY product_code) AS ids FROM v_products GROUP BY 2",
 )
 add(
     "GR-22_order_graph",
@@ -451,8 +462,8 @@ add(
     "LIV-4_route_history",
     "shipment_identifier:s part:i route:s updated_at:t expires_at:t",
     lambda d: live.route_history(d["positions"]).withColumn("route", F.array_join(F.transform("route", lambda p: p.member), "|")),
-    f"""SELECT shipment_identifier, 0 AS part, string_agg(m, '|' ORDER BY epoch_second, m) AS route, MAX(event_timestamp) AS updated_at, MAX(event_timestamp) + INTERVAL 3 DAY AS expires_at FROM (
-    SELECT *, {_MEMBER} AS m, CAST(floor(epoch(event_timestamp)) AS BIGINT) AS epoch_second FROM v_positions) GROUP BY 1""",
+    f"""SELECT shipment_identifier, {_DAY.format('event_timestamp')} AS part, string_agg(m, '|' ORDER BY epoch_second, m) AS route, ANY_VALUE(last) AS updated_at, ANY_VALUE(last) + INTERVAL 3 DAY AS expires_at FROM (
+    SELECT *, {_MEMBER} AS m, CAST(floor(epoch(event_timestamp)) AS BIGINT) AS epoch_second, MAX(event_timestamp) OVER (PARTITION BY shipment_identifier) AS last FROM v_positions) GROUP BY 1, 2""",
 )
 add("LIV-5_temperature_alerts", _ALERT_SPEC + " alert:s", lambda d: live.temperature_alerts(d["positions"]), f"SELECT *, 'ALERT' AS alert FROM ({_ALERT_SQL})")
 add("LIV-6_violation_ranking", _VIOLATION_SPEC + " expires_at:t", lambda d: live.violation_ranking(d["positions"]), _VIOLATION_SQL)
@@ -491,7 +502,7 @@ add(
     "LIV-8_order_timeline",
     "order_reference:s part:i timeline:s",
     lambda d: live.order_timeline(d["order_events"]).withColumn("timeline", F.array_join("timeline", "|")),
-    f"SELECT order_reference, 0 AS part, strftime(order_timestamp, '%Y-%m-%dT%H:%M:%S.%f') || ' – CREATED' AS timeline FROM {_ORDER_EVENTS}",
+    f"SELECT order_reference, {_DAY.format('order_timestamp')} AS part, strftime(order_timestamp, '%Y-%m-%dT%H:%M:%S.%f') || ' – CREATED' AS timeline FROM {_ORDER_EVENTS}",
 )
 add(
     "LIV-9_product_cache",
@@ -544,7 +555,7 @@ def _stream_positions(d: Driver) -> DataFrame:
 
 
 def _current(updates: DataFrame, fields: list[str], ttl: str) -> DataFrame:
-    state = stream.latest_of_days(updates, "shipment_identifier", fields)
+    state = stream.latest_of_updates(updates, "shipment_identifier", fields)
     return stream.expiring(state, live.TTL_SECONDS[ttl])
 
 
@@ -575,7 +586,7 @@ add(
 add(
     "LIV-4_stream_route_points",
     "shipment_identifier:s member:s",
-    lambda d: stream.run(stream.stream_route_points(_stream_positions(d)), "route", "append"),
+    lambda d: stream.settled(stream.run(stream.stream_route_points(_stream_positions(d)), "route", "append", stream.POINT_KEYS), stream.POINT_KEYS),
     f"SELECT shipment_identifier, {_MEMBER} AS member FROM v_positions",
 )
 add(
@@ -587,7 +598,9 @@ add(
 add(
     "LIV-6_stream_violations",
     _VIOLATION_SPEC,
-    lambda d: stream.run(stream.stream_violations(_stream_positions(d)), "violations", "append"),
+    lambda d: stream.settled(
+        stream.run(stream.stream_violations(_stream_positions(d)), "violations", "append", stream.VIOLATION_KEYS), stream.VIOLATION_KEYS
+    ),
     _VIOLATION_SQL,
 )
 add(
@@ -596,11 +609,21 @@ add(
     lambda d: stream.counter_totals(stream.run(stream.stream_counters(adapter.status_events(d.live_stream())), "counters")),
     f"{_COUNTERS} UNION ALL SELECT 'started', COUNT(*) FROM v_started UNION ALL SELECT 'temperature_alerts', COUNT(*) FROM {_BAD}",
 )
+add(
+    "LIV-7_stream_active_shipments",
+    "active_shipments:i",
+    lambda d: stream.active_from(stream.run(stream.stream_changes(adapter.status_events(d.live_stream())), "changes", "append")),
+    """SELECT SUM(step) - LEAST(0, MIN(running)) AS active_shipments FROM (SELECT step, SUM(step) OVER (ORDER BY event_timestamp, step DESC ROWS UNBOUNDED PRECEDING) AS running FROM (
+    SELECT event_timestamp, 1 AS step FROM v_started UNION ALL SELECT event_timestamp, -1 FROM v_delivered))""",
+)
 add(
     "LIV-12_stream_repeated_events",
     "shipment_identifier:s event_type:s event_timestamp:t",
-    lambda d: stream.run(
-        stream.without_repeats(adapter.status_events(d.live_stream()), "1 day").select("shipment_identifier", "event_type", "event_timestamp"), "unique", "append"
+    lambda d: stream.settled(
+        stream.run(
+            adapter.status_events(d.live_stream()).select("shipment_identifier", "event_type", "event_timestamp"), "unique", "append", stream.EVENT_KEYS
+        ),
+        stream.EVENT_KEYS,
     ),
     """SELECT DISTINCT shipment_identifier, event_type, event_timestamp FROM (SELECT shipment_identifier, 'ShipmentPositionUpdated' AS event_type, event_timestamp FROM v_positions
     UNION ALL SELECT shipment_identifier, 'TransportStarted', event_timestamp FROM v_started UNION ALL SELECT shipment_identifier, 'DeliveryCompleted', event_timestamp FROM v_delivered)""",

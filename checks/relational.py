@@ -482,12 +482,12 @@ add(
     "SKEW_bounded_lists",
     "node_id:i part:i elements:i first_value:d last_value:d ordered:b",
     lambda d: skew.bounded_lists(
-        d["node_processings"].filter("temperature IS NOT NULL"), ["node_id"], F.col("temperature"), "list", 1_000_000
+        d["node_processings"].filter("temperature IS NOT NULL"), ["node_id"], F.col("temperature"), "list", F.floor("temperature").cast("long")
     ).select(
         "node_id", "part", F.size("list").alias("elements"), F.element_at("list", 1).alias("first_value"),
         F.element_at("list", -1).alias("last_value"), (F.array_sort("list") == F.col("list")).alias("ordered"),
     ),
-    """SELECT node_id, 0 AS part, COUNT(*) AS elements, MIN(temperature) AS first_value, MAX(temperature) AS last_value, TRUE AS ordered FROM v_node_processings WHERE temperature IS NOT NULL GROUP BY node_id""",
+    """SELECT node_id, CAST(floor(temperature) AS BIGINT) AS part, COUNT(*) AS elements, MIN(temperature) AS first_value, MAX(temperature) AS last_value, TRUE AS ordered FROM v_node_processings WHERE temperature IS NOT NULL GROUP BY 1, 2""",
 )
 
 # --- reports ---------------------------------------------------------------------------

@@ -24,6 +24,10 @@ from freightloom.sources.relations import carrier_node_types, graph_node_names,
 Tables = dict[str, DataFrame]
 
 
+#: Numbers of a code that share a list.
+CODES_PER_PART = 1_000
+
+
 def _props(**values: Column) -> Column:
     pairs: list[Column] = []
     for name, value in values.items():
@@ -289,14 +293,14 @@ def shortest_path(
     edge_type: str = "CONNECTED_TO",
     weight: str = "typical_hours",
     mode: str = "transport_mode",
-    max_hops: int = 32,
+    max_hops: int | None = None,
 ) -> DataFrame:
     """Path with the fewest hops: stations, modes, total weight, hops.
 
     Breadth-first search; each level is one join with the edges and holds
     the nodes reached for the first time with one parent each. Levels are
     checkpointed, so a lost executor costs one level. No row when there is
-    no path of at most ``max_hops`` hops.
+    no path, or none of at most ``max_hops`` hops where that is given.
     """
     spark = edges.sparkSession
     shared_dir(spark)
@@ -310,7 +314,7 @@ def shortest_path(
     visited = start
     frontier = start
     levels: list[DataFrame] = []
-    while src != dst and len(levels) < max_hops:
+    while src != dst and (max_hops is None or len(levels) < max_hops):
         reached = (
             steps.join(frontier.select(F.col("id").alias("parent")), "parent", "left_semi")
             .join(visited, "id", "left_anti")
@@ -585,10 +589,14 @@ def stations(nodes: DataFrame) -> DataFrame:
     )
 
 
-def collected_codes(nodes: DataFrame, label: str, part_size: int = 10_000) -> DataFrame:
-    """Sorted ids of one label as lists of bounded size, with the total."""
+def collected_codes(nodes: DataFrame, label: str, width: int = CODES_PER_PART) -> DataFrame:
+    """Sorted ids of one label with the total, one list for each ``width`` numbers of the code.
+
+    The number is the last run of digits; a code without one counts as 0.
+    """
     ids = nodes.filter(F.col("label") == label)
-    parts = bounded_lists(ids, ["label"], F.col("id"), "ids", part_size)
+    number = F.coalesce(F.expr("try_cast(nullif(regexp_extract(id, '([0-9]+)[^0-9]*$', 1), '') AS bigint)"), F.lit(0))
+    parts = bounded_lists(ids, ["label"], F.col("id"), "ids", F.floor(number / F.lit(width)).cast("long"))
     total = ids.agg(F.count("*").alias("total"))
     return parts.crossJoin(total).select("label", "part", "total", "ids")  # total is one row
 

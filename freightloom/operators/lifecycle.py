@@ -13,10 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freightloom import constants as C
-from freightloom.functions.dates import moment, plus_seconds
+from freightloom.functions.dates import date_key, moment, plus_seconds
 from freightloom.functions.keys import normalize_key
 from freightloom.functions.numbers import within_cold_chain
-from freightloom.operators.skew import PART_SIZE, bounded_lists, first_per_key
+from freightloom.operators.skew import bounded_lists, first_per_key
 from freightloom.operators.writes import insert_ignore
 
 
@@ -36,22 +36,12 @@ def _element(kind: str, rank: int, **given: Column) -> Column:
     return F.struct(given["timestamp"].alias("timestamp"), F.lit(rank).alias("rank"), F.lit(kind).alias("event_type"), *values)
 
 
-def shipment_lifecycle(
-    started: DataFrame,
-    positions: DataFrame,
-    completed: DataFrame,
-    delivered: DataFrame,
-    part_size: int = PART_SIZE,
-) -> DataFrame:
-    """One document per started shipment.
+KEY = "shipment_identifier"
 
-    The first start, completion and delivery count, and one position per
-    time. The status runs from IN_TRANSIT over TRANSPORT_COMPLETED to the
-    final status, which nothing overwrites.
-    """
-    key = "shipment_identifier"
-    c = F.col
-    first_start = started.groupBy(key).agg(
+
+def _firsts(started: DataFrame, completed: DataFrame, delivered: DataFrame) -> DataFrame:
+    """First start, completion and delivery of each started shipment, as structs s, d and f."""
+    first_start = started.groupBy(KEY).agg(
         F.min(
             F.struct(
                 "event_timestamp", "cargo_product_reference", "source_node", "target_node", "transport_mode", "carrier",
@@ -59,28 +49,67 @@ def shipment_lifecycle(
             )
         ).alias("s")
     )
-    first_done = completed.groupBy(key).agg(F.min(F.struct("event_timestamp", "arrival_node", "delay_minutes")).alias("d"))
-    first_final = delivered.groupBy(key).agg(
+    first_done = completed.groupBy(KEY).agg(F.min(F.struct("event_timestamp", "arrival_node", "delay_minutes")).alias("d"))
+    first_final = delivered.groupBy(KEY).agg(
         F.min(F.struct("event_timestamp", "delivery_status", "received_by")).alias("f")
     )
-    last_position = positions.groupBy(key).agg(F.max("event_timestamp").alias("p"))
-    header = (
-        first_start.join(first_done, key, "left").join(first_final, key, "left").join(last_position, key, "left")
+    return first_start.join(first_done, KEY, "left").join(first_final, KEY, "left")
+
+
+def shipment_lifecycle(
+    started: DataFrame, positions: DataFrame, completed: DataFrame, delivered: DataFrame
+) -> DataFrame:
+    """One document per started shipment; its events are rows of ``shipment_events``.
+
+    The first start, completion and delivery count. The status runs from
+    IN_TRANSIT over TRANSPORT_COMPLETED to the final status, which nothing
+    overwrites.
+    """
+    c = F.col
+    last_position = positions.groupBy(KEY).agg(F.max("event_timestamp").alias("p"))
+    return _firsts(started, completed, delivered).join(last_position, KEY, "left").select(
+        KEY,
+        normalize_key("s.cargo_product_reference").alias("cargo_product_reference"),
+        "s.source_node",
+        "s.target_node",
+        "s.transport_mode",
+        "s.carrier",
+        "s.estimated_arrival",
+        c("s.event_timestamp").alias("started_at"),
+        F.when(c("f").isNotNull(), c("f.delivery_status"))
+        .when(c("d").isNotNull(), "TRANSPORT_COMPLETED")
+        .otherwise("IN_TRANSIT")
+        .alias("delivery_status"),
+        c("d.delay_minutes").alias("delay_minutes"),
+        c("d.event_timestamp").alias("completed_at"),
+        c("s.event_timestamp").alias("created_at"),
+        F.coalesce(F.greatest("p", "d.event_timestamp", "f.event_timestamp"), "s.event_timestamp").alias("updated_at"),
     )
+
+
+def shipment_events(
+    started: DataFrame, positions: DataFrame, completed: DataFrame, delivered: DataFrame
+) -> DataFrame:
+    """Events of each started shipment in order of time, one list a day.
+
+    The first start, completion and delivery count, and one position per time.
+    """
+    c = F.col
+    firsts = _firsts(started, completed, delivered)
     points = first_per_key(
-        positions.select(key, "event_timestamp", "latitude", "longitude", "container_temperature", "speed_kmh"),
-        [key, "event_timestamp"],
+        positions.select(KEY, "event_timestamp", "latitude", "longitude", "container_temperature", "speed_kmh"),
+        [KEY, "event_timestamp"],
         [],
-    ).join(first_start.select(key), key, "left_semi")
+    ).join(firsts.select(KEY), KEY, "left_semi")
     elements = points.select(
-        key,
+        KEY,
         _element(
             "ShipmentPositionUpdated", 1, timestamp=c("event_timestamp"), latitude=c("latitude"),
             longitude=c("longitude"), container_temperature=c("container_temperature"), speed_kmh=c("speed_kmh"),
         ).alias("event"),
     ).unionByName(
-        header.select(
-            key,
+        firsts.select(
+            KEY,
             F.explode(
                 F.array_compact(
                     F.array(
@@ -104,26 +133,7 @@ def shipment_lifecycle(
             ).alias("event"),
         )
     )
-    parts = bounded_lists(elements, [key], c("event"), "events", part_size)
-    documents = header.select(
-        key,
-        normalize_key("s.cargo_product_reference").alias("cargo_product_reference"),
-        "s.source_node",
-        "s.target_node",
-        "s.transport_mode",
-        "s.carrier",
-        "s.estimated_arrival",
-        c("s.event_timestamp").alias("started_at"),
-        F.when(c("f").isNotNull(), c("f.delivery_status"))
-        .when(c("d").isNotNull(), "TRANSPORT_COMPLETED")
-        .otherwise("IN_TRANSIT")
-        .alias("delivery_status"),
-        c("d.delay_minutes").alias("delay_minutes"),
-        c("d.event_timestamp").alias("completed_at"),
-        c("s.event_timestamp").alias("created_at"),
-        F.coalesce(F.greatest("p", "d.event_timestamp", "f.event_timestamp"), "s.event_timestamp").alias("updated_at"),
-    )
-    return documents.join(parts, key)
+    return bounded_lists(elements, [KEY], c("event"), "events", date_key("event.timestamp"))
 
 
 def node_documents(processings: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -150,10 +160,8 @@ def node_documents(processings: DataFrame, existing: DataFrame | None = None) ->
     return insert_ignore(documents, existing, ["batch_reference", "supply_chain_node"], ["processed_at"])
 
 
-def batch_documents(
-    batches: DataFrame, processings: DataFrame, nodes: DataFrame, part_size: int = PART_SIZE
-) -> DataFrame:
-    """One document per batch with the stations it passed.
+def batch_documents(batches: DataFrame, processings: DataFrame, nodes: DataFrame) -> DataFrame:
+    """One document per batch; the stations it passed are rows of ``batch_stations``.
 
     Takes BatchHarvested and NodeProcessed events. A batch known only from
     a processing gets a document without harvest data. The current node is
@@ -171,35 +179,33 @@ def batch_documents(
         ).alias("b")
     )
     order = nodes.select(c("node_code").alias("supply_chain_node"), "sequence_order")
-    passed = processings.withColumnRenamed("batch_reference", key)
     latest = (
-        passed.join(order, "supply_chain_node", "left")
+        processings.withColumnRenamed("batch_reference", key)
+        .join(order, "supply_chain_node", "left")
         .groupBy(key)
         .agg(F.max(F.struct("event_timestamp", "sequence_order", "supply_chain_node")).alias("l"))
     )
+    return base.join(latest, key, "full").select(
+        key,
+        normalize_key("b.product_code").alias("erp_product_code"),
+        "b.wms_sku",
+        "b.tms_product_reference",
+        "b.origin_country",
+        "b.quantity",
+        c("b.event_timestamp").alias("harvested_at"),
+        F.coalesce("l.supply_chain_node", "b.supply_chain_node").alias("current_node"),
+        c("l.event_timestamp").alias("updated_at"),
+    )
+
+
+def batch_stations(processings: DataFrame) -> DataFrame:
+    """Stations that each batch passed in order of time, one list a day."""
+    c = F.col
     entry = F.struct(
         c("event_timestamp").alias("processed_at"), c("supply_chain_node").alias("node"), "temperature", "status"
     )
-    entries = passed.select(key, entry.alias("entry")).distinct()
-    parts = bounded_lists(entries, [key], c("entry"), "nodes_processed", part_size)
-    empty = F.array().cast(parts.schema["nodes_processed"].dataType)
-    return (
-        base.join(latest, key, "full")
-        .join(parts, key, "left")
-        .select(
-            key,
-            normalize_key("b.product_code").alias("erp_product_code"),
-            "b.wms_sku",
-            "b.tms_product_reference",
-            "b.origin_country",
-            "b.quantity",
-            c("b.event_timestamp").alias("harvested_at"),
-            F.coalesce("l.supply_chain_node", "b.supply_chain_node").alias("current_node"),
-            F.coalesce("part", F.lit(0)).alias("part"),
-            F.coalesce("nodes_processed", empty).alias("nodes_processed"),
-            c("l.event_timestamp").alias("updated_at"),
-        )
-    )
+    entries = processings.select(c("batch_reference").alias("batch_identifier"), entry.alias("entry")).distinct()
+    return bounded_lists(entries, ["batch_identifier"], c("entry"), "nodes_processed", date_key("entry.processed_at"))
 
 
 def order_documents(orders: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -218,10 +224,8 @@ def unexpired_documents(documents: DataFrame, as_of: datetime, column: str = "cr
 
 def delayed_shipments(documents: DataFrame, minutes: int = C.LATE_MINUTES) -> DataFrame:
     """Shipments delayed by more than so many minutes."""
-    return (
-        documents.filter(F.col("delay_minutes") > minutes)
-        .select("shipment_identifier", "source_node", "target_node", "delay_minutes")
-        .dropDuplicates(["shipment_identifier"])  # one row per document, however many parts
+    return documents.filter(F.col("delay_minutes") > minutes).select(
+        "shipment_identifier", "source_node", "target_node", "delay_minutes"
     )
 
 

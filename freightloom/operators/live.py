@@ -17,7 +17,7 @@ from freightloom.functions.dates import date_key, epoch_seconds, moment, plus_se
 from freightloom.functions.keys import normalize_key
 from freightloom.functions.numbers import breaks_cold_chain
 from freightloom.functions.texts import position_member
-from freightloom.operators.skew import PART_SIZE, bounded_lists
+from freightloom.operators.skew import bounded_lists
 
 SHIPMENT = "shipment_identifier"
 
@@ -81,21 +81,22 @@ def latest_position(positions: DataFrame) -> DataFrame:
     return _expiring(state, TTL_SECONDS["shipment_position"])
 
 
-def route_members(positions: DataFrame) -> DataFrame:
-    """Points of routes: shipment, score in seconds, member as JSON text; each once."""
+def route_members(positions: DataFrame, repeated: bool = False) -> DataFrame:
+    """Points of routes: shipment, score in seconds, member as JSON text; each once unless ``repeated``."""
     c = F.col
-    return positions.select(
+    members = positions.select(
         SHIPMENT,
         "event_timestamp",
         epoch_seconds("event_timestamp").alias("score"),
         position_member(c("latitude"), c("longitude"), c("container_temperature"), c("event_timestamp")).alias("member"),
-    ).distinct()
+    )
+    return members if repeated else members.distinct()
 
 
-def route_history(positions: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
-    """Points of each route in order of time, in parts of bounded size."""
+def route_history(positions: DataFrame) -> DataFrame:
+    """Points of each route in order of time, one part a day."""
     members = route_members(positions)
-    parts = bounded_lists(members, [SHIPMENT], F.struct("score", "member"), "route", part_size)
+    parts = bounded_lists(members, [SHIPMENT], F.struct("score", "member"), "route", date_key("event_timestamp"))
     last = members.groupBy(SHIPMENT).agg(F.max("event_timestamp").alias("updated_at"))
     return _expiring(parts.join(last, SHIPMENT), TTL_SECONDS["shipment_route"])
 
@@ -241,10 +242,10 @@ def order_meta(orders: DataFrame) -> DataFrame:
     return _expiring(_latest(flat, "order_reference", "customer_number", "customer_name", "priority"), TTL_SECONDS["order"])
 
 
-def order_timeline(orders: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
-    """Entries of each order in order of time, in parts of bounded size."""
+def order_timeline(orders: DataFrame) -> DataFrame:
+    """Entries of each order in order of time, one part a day."""
     entry = F.concat(F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit(" – CREATED"))
-    parts = bounded_lists(orders, ["order_reference"], entry, "timeline", part_size)
+    parts = bounded_lists(orders, ["order_reference"], entry, "timeline", date_key("event_timestamp"))
     last = orders.groupBy("order_reference").agg(F.max("event_timestamp").alias("updated_at"))
     return _expiring(parts.join(last, "order_reference"), TTL_SECONDS["order"])
 

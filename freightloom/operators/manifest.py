@@ -202,20 +202,22 @@ def missing_notes(shipments: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def order_texts(
-    orders: DataFrame, order_items: DataFrame, products: DataFrame, part_size: int = 1_000
+    orders: DataFrame, order_items: DataFrame, products: DataFrame, page_lines: int = 1_000
 ) -> DataFrame:
-    """Invoice and delivery text per order, in pages of bounded length.
+    """Invoice and delivery text per order, one page for each ``page_lines`` positions.
 
     ``orders`` has order_id, customer_name, city and warehouse. Every page
-    carries the heading and the total of the whole order; an order with up
-    to ``part_size`` lines has the single page 0.
+    carries the heading and the total of the whole order. ``order_items`` has
+    the position of each line, counted from 0; a line without one stands on
+    the first page.
     """
     lines = order_items.join(products.select("product_id", "product_name"), "product_id").withColumn(
         "subtotal", exact(F.col("unit_price") * F.col("quantity")).cast("decimal(18,2)")
     )
     totals = lines.groupBy("order_id").agg(F.sum(exact("subtotal")).cast("decimal(18,2)").alias("total"))
     line = F.struct("product_name", "product_id", "quantity", "subtotal")
-    pages = bounded_lists(lines, ["order_id"], line, "lines", part_size)
+    page = F.floor(F.coalesce("position", F.lit(0)) / F.lit(page_lines)).cast("long")
+    pages = bounded_lists(lines, ["order_id"], line, "lines", page)
     name, qty, sub = "product_name", "quantity", "subtotal"
     invoice_lines = F.transform(
         "lines",

@@ -1,7 +1,7 @@
 """Helpers that keep one hot key from ending up in one task.
 
 A key may own a third of all rows. Rows are therefore reduced before they
-are shuffled, and lists are built from parts of bounded size.
+are shuffled, and lists are built in parts that follow from their elements.
 """
 
 from __future__ import annotations
@@ -10,9 +10,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Elements a list part holds on average before a key is split.
-PART_SIZE = 10_000
-
 
 def _orderable(df: DataFrame, skip: set[str]) -> list[str]:
     def ok(kind: T.DataType) -> bool:
@@ -44,34 +41,17 @@ def row_counts(df: DataFrame, keys: list[str], name: str = "rows") -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias(name))
 
 
-def bounded_lists(
-    df: DataFrame,
-    keys: list[str],
-    element: Column,
-    name: str,
-    part_size: int = PART_SIZE,
-) -> DataFrame:
-    """Sorted lists of ``element`` per key, split into parts of bounded size.
+def bounded_lists(df: DataFrame, keys: list[str], element: Column, name: str, part: Column) -> DataFrame:
+    """Sorted lists of ``element`` per key and part.
 
-    A key with at most ``part_size`` rows has the single part 0. Larger ones
-    are spread over as many parts as needed by a hash of the element: every
-    element stands in exactly one part and each part is sorted.
+    ``part`` follows from the element alone (the day of an event, a range of
+    positions or codes), so a list does not depend on how many rows there are,
+    an addition touches the last part only, and the parts of a hot key lie in
+    different tasks. Parts in order, one after the other, are the whole list in
+    order if ``part`` rises with the element.
     """
-    items = df.select(*keys, element.alias("_element"))
-    hot = (
-        row_counts(items, keys, "_n")
-        .filter(F.col("_n") > part_size)
-        .select(*keys, F.ceil(F.col("_n") / F.lit(part_size)).cast("long").alias("_parts"))
-    )
-    if keys:
-        spread = items.join(hot, keys, "left")
-    else:
-        spread = items.join(hot, F.lit(True), "left")
-    parted = spread.withColumn(
-        "part",
-        F.coalesce(F.pmod(F.xxhash64("_element"), F.col("_parts")), F.lit(0)).cast("int"),
-    )
-    return parted.groupBy(*keys, "part").agg(F.sort_array(F.collect_list("_element")).alias(name))
+    items = df.select(*keys, part.alias("part"), element.alias("_element"))
+    return items.groupBy(*keys, "part").agg(F.sort_array(F.collect_list("_element")).alias(name))
 
 
 def matched(df: DataFrame, ref: DataFrame, on: dict[str, str], keep: bool) -> DataFrame:

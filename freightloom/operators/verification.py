@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from freightloom import constants as C
 from freightloom.functions.numbers import mean
-from freightloom.operators.skew import orphan_count
+from freightloom.operators.skew import matched, orphan_count
 from freightloom.sources.relations import topology
 
 
@@ -304,18 +304,31 @@ def plausibility_master_data(
     )
 
 
-def structure_checks(shipment_docs: DataFrame, batch_docs: DataFrame, node_docs: DataFrame) -> DataFrame:
-    """Lifecycle documents whose lists or flags are missing."""
+def structure_checks(
+    shipment_docs: DataFrame, shipment_events: DataFrame, batch_docs: DataFrame, batch_stations: DataFrame, node_docs: DataFrame
+) -> DataFrame:
+    """Documents, and those whose parts or flags are broken.
 
-    def one(df: DataFrame, name: str, good: Column) -> DataFrame:
-        return df.agg(F.count("*").alias("documents"), F.count_if(~F.coalesce(good, F.lit(False))).alias("broken")).select(
-            F.lit(name).alias("check"), "documents", "broken"
-        )
+    A shipment has at least one list of events, a list of stations has its
+    batch, and a node document has its flags.
+    """
+
+    def one(documents: DataFrame, broken: DataFrame, name: str) -> DataFrame:
+        counts = documents.agg(F.count("*").alias("documents")).crossJoin(broken.agg(F.count("*").alias("broken")))  # one row each
+        return counts.select(F.lit(name).alias("check"), "documents", "broken")
 
     return stack_rows(
         [
-            one(shipment_docs, "shipment_events.events", F.size("events") > 0),
-            one(batch_docs, "batch_tracking.nodes_processed", F.col("nodes_processed").isNotNull()),
-            one(node_docs, "node_events.quality_flags", F.col("quality_flags").isNotNull()),
+            one(
+                shipment_docs,
+                matched(shipment_docs, shipment_events, {"shipment_identifier": "shipment_identifier"}, keep=False),
+                "shipment_events.events",
+            ),
+            one(
+                batch_docs,
+                matched(batch_stations, batch_docs, {"batch_identifier": "batch_identifier"}, keep=False),
+                "batch_tracking.nodes_processed",
+            ),
+            one(node_docs, node_docs.filter("quality_flags IS NULL"), "node_events.quality_flags"),
         ]
     )

@@ -176,15 +176,15 @@ def load_documents(store: TableStore) -> None:
         return _events(store, event_type)
 
     started, delivered, processed = of("TransportStarted"), of("DeliveryCompleted"), of("NodeProcessed")
-    store.replace(
-        "shipment_documents",
-        lifecycle.shipment_lifecycle(started, of("ShipmentPositionUpdated"), of("TransportCompleted"), delivered),
-    )
+    shipment = (started, of("ShipmentPositionUpdated"), of("TransportCompleted"), delivered)
+    store.replace("shipment_documents", lifecycle.shipment_lifecycle(*shipment))
+    store.replace("shipment_events", lifecycle.shipment_events(*shipment))
     store.append("node_documents", lifecycle.node_documents(processed, store.read("node_documents")))
     store.append("order_documents", lifecycle.order_documents(of("OrderCreated"), store.read("order_documents")))
     store.replace(
         "batch_documents", lifecycle.batch_documents(of("BatchHarvested"), processed, store.table("supply_chain_nodes"))
     )
+    store.replace("batch_stations", lifecycle.batch_stations(processed))
     store.replace("document_references", manifest.manifest(started, delivered, processed, store.read("document_references")))
 
 

@@ -1,12 +1,11 @@
 """Streaming counterparts of the live state.
 
-Keyed state is aggregated per key and calendar day of the event. Spark
-combines the rows of a hot key before the shuffle, and drops the state of
-a day once the watermark has passed it, so the watermark plays the part of
-the time to live: ``ttl_watermark`` names the one to use for each state.
-``latest_of_days`` reduces the written updates to the current state, which
-equals the batch form in ``freightloom.operators.live`` as long as no event
-is later than the watermark allows.
+No event is ever too late. The latest value of a key is a maximum and a count
+per day a sum, so neither needs a watermark, and files may arrive in any order.
+Members of lists are passed on as they come, without state; repetitions are
+dropped within a micro-batch and settled over all batches when the written rows
+are read (``settled``). What has outlived its time is filtered out on reading,
+as in the batch form, and never by dropping state.
 """
 
 from __future__ import annotations
@@ -17,11 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from freightloom.constants import TTL_SECONDS
-from freightloom.functions.dates import date_key, epoch_seconds, plus_seconds
+from freightloom.functions.dates import date_key, plus_seconds
 from freightloom.functions.numbers import breaks_cold_chain
-from freightloom.functions.texts import position_member
-from freightloom.operators.live import SHIPMENT, status_ttl, violation_members
+from freightloom.operators.live import SHIPMENT, active_shipments, route_members, status_ttl, violation_members
 from freightloom.session import shared_dir
 from freightloom.sources.events import EVENT_SCHEMA
 
@@ -36,38 +33,21 @@ def read_event_stream(
     return reader.json(directory)
 
 
-def ttl_watermark(state: str) -> str:
-    """Watermark delay that keeps state as long as its time to live."""
-    return f"{TTL_SECONDS[state]} seconds"
+def with_event_time(stream: DataFrame, column: str = "event_timestamp") -> DataFrame:
+    """Add the event time a window needs; it takes no zone-free timestamp."""
+    return stream.withColumn("event_time", F.col(column).cast("timestamp"))
 
 
-def watermarked(stream: DataFrame, delay: str, column: str = "event_timestamp") -> DataFrame:
-    """Add the event time a watermark needs; it takes no zone-free timestamp."""
-    return stream.withColumn("event_time", F.col(column).cast("timestamp")).withWatermark("event_time", delay)
-
-
-def without_repeats(stream: DataFrame, delay: str, key: str = SHIPMENT) -> DataFrame:
-    """Drop repetitions of (key, type, time) that arrive within the delay."""
-    return watermarked(stream, delay).dropDuplicatesWithinWatermark([key, "event_type", "event_timestamp"])
-
-
-def stream_latest(stream: DataFrame, key: str, fields: list[str], delay: str) -> DataFrame:
-    """Last values per key and day, for update mode."""
-    day = F.window("event_time", "1 day")
+def stream_latest(stream: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """Last values per key, for update mode."""
     return (
-        watermarked(stream, delay)
-        .groupBy(day.alias("day"), key)
+        stream.groupBy(key)
         .agg(F.max(F.struct("event_timestamp", *fields)).alias("v"))
-        .select(
-            key,
-            F.col("day.start").alias("day"),
-            F.col("v.event_timestamp").alias("updated_at"),
-            *[F.col(f"v.{f}").alias(f) for f in fields],
-        )
+        .select(key, F.col("v.event_timestamp").alias("updated_at"), *[F.col(f"v.{f}").alias(f) for f in fields])
     )
 
 
-def stream_shipment_status(events: DataFrame, delay: str | None = None) -> DataFrame:
+def stream_shipment_status(events: DataFrame) -> DataFrame:
     """Status updates from one stream of transport starts and deliveries.
 
     ``events`` has shipment_identifier, event_type, delivery_status and
@@ -82,54 +62,52 @@ def stream_shipment_status(events: DataFrame, delay: str | None = None) -> DataF
         .otherwise(F.coalesce("delivery_status", F.lit("UNKNOWN")))
         .alias("status"),
     )
-    return stream_latest(changes, SHIPMENT, ["rank", "status"], delay or ttl_watermark("shipment_status_final"))
+    return stream_latest(changes, SHIPMENT, ["rank", "status"])
 
 
-def stream_shipment_info(starts: DataFrame, delay: str | None = None) -> DataFrame:
+def stream_shipment_info(starts: DataFrame) -> DataFrame:
     """Updates of route, mode and carrier; takes ``flat_starts`` of a stream."""
     fields = ["transport_mode", "source_node", "target_node", "carrier_id"]
-    return stream_latest(starts, SHIPMENT, fields, delay or ttl_watermark("shipment_info"))
+    return stream_latest(starts, SHIPMENT, fields)
 
 
-def stream_latest_position(positions: DataFrame, delay: str | None = None) -> DataFrame:
+def stream_latest_position(positions: DataFrame) -> DataFrame:
     """Updates of the last known position."""
     fields = ["latitude", "longitude", "container_temperature", "speed_kmh"]
-    return stream_latest(positions, SHIPMENT, fields, delay or ttl_watermark("shipment_position"))
+    return stream_latest(positions, SHIPMENT, fields)
 
 
-def stream_temperature_alerts(positions: DataFrame, delay: str | None = None) -> DataFrame:
+def stream_temperature_alerts(positions: DataFrame) -> DataFrame:
     """Updates of the last breach per shipment."""
     bad = positions.filter(breaks_cold_chain("container_temperature"))
-    return stream_latest(bad, SHIPMENT, [], delay or ttl_watermark("temperature_alert"))
+    return stream_latest(bad, SHIPMENT, [])
 
 
-def stream_route_points(positions: DataFrame, delay: str | None = None) -> DataFrame:
-    """Points of routes for append mode, repetitions within the delay dropped.
+#: What makes two written members the same.
+POINT_KEYS, VIOLATION_KEYS, EVENT_KEYS = (SHIPMENT, "member"), ("day", "member"), (SHIPMENT, "event_type", "event_timestamp")
 
-    The list of a route is put together from the written points when read.
+
+def stream_route_points(positions: DataFrame) -> DataFrame:
+    """Points of routes for append mode; ``settled`` by POINT_KEYS when read.
+
+    The list of a route is put together from the written points.
     """
-    c = F.col
-    points = watermarked(positions, delay or ttl_watermark("shipment_route")).select(
-        SHIPMENT,
-        "event_timestamp",
-        "event_time",
-        epoch_seconds("event_timestamp").alias("score"),
-        position_member(c("latitude"), c("longitude"), c("container_temperature"), c("event_timestamp")).alias("member"),
-    )
-    return points.dropDuplicatesWithinWatermark([SHIPMENT, "member"]).drop("event_time")
+    return route_members(positions, repeated=True)
 
 
-def stream_violations(positions: DataFrame, delay: str | None = None) -> DataFrame:
-    """Breaches by day for append mode, repetitions within the delay dropped."""
-    members = violation_members(positions)
-    return (
-        watermarked(members, delay or ttl_watermark("violation_ranking"))
-        .dropDuplicatesWithinWatermark(["day", "member"])
-        .drop("event_time")
+def stream_violations(positions: DataFrame) -> DataFrame:
+    """Breaches by day for append mode; ``settled`` by VIOLATION_KEYS when read."""
+    return violation_members(positions)
+
+
+def stream_changes(events: DataFrame) -> DataFrame:
+    """Starts and deliveries for append mode, from which active shipments are counted."""
+    return events.filter(F.col("event_type").isin("TransportStarted", "DeliveryCompleted")).select(
+        SHIPMENT, "event_type", "event_timestamp"
     )
 
 
-def stream_counters(events: DataFrame, delay: str = "1 day") -> DataFrame:
+def stream_counters(events: DataFrame) -> DataFrame:
     """Deliveries by status, alerts and starts per day, for update mode.
 
     ``events`` has event_type, delivery_status, container_temperature and
@@ -146,7 +124,7 @@ def stream_counters(events: DataFrame, delay: str = "1 day") -> DataFrame:
             (kind == "ShipmentPositionUpdated") & breaks_cold_chain("container_temperature"), F.lit("temperature_alerts")
         )
     )
-    counted = watermarked(events, delay).withColumn("counter", counter).filter(F.col("counter").isNotNull())
+    counted = with_event_time(events).withColumn("counter", counter).filter(F.col("counter").isNotNull())
     return (
         counted.groupBy(F.window("event_time", "1 day").alias("day"), "counter")
         .agg(F.count("*").alias("value"))
@@ -154,17 +132,17 @@ def stream_counters(events: DataFrame, delay: str = "1 day") -> DataFrame:
     )
 
 
-def stream_orders_per_day(orders: DataFrame, delay: str = "1 day") -> DataFrame:
+def stream_orders_per_day(orders: DataFrame) -> DataFrame:
     """Orders per day of the event, for update mode."""
     return (
-        watermarked(orders, delay)
+        with_event_time(orders)
         .groupBy(F.window("event_time", "1 day").alias("day"))
         .agg(F.count("*").alias("orders"))
         .select(date_key("day.start").alias("day_key"), F.col("day.start").alias("day"), "orders")
     )
 
 
-def stream_order_state(orders: DataFrame, delay: str | None = None) -> DataFrame:
+def stream_order_state(orders: DataFrame) -> DataFrame:
     """Updates of order status and meta data."""
     flat = orders.select(
         "order_reference",
@@ -174,20 +152,24 @@ def stream_order_state(orders: DataFrame, delay: str | None = None) -> DataFrame
         F.col("delivery_priority").alias("priority"),
     )
     fields = ["customer_number", "customer_name", "priority"]
-    return stream_latest(flat, "order_reference", fields, delay or ttl_watermark("order"))
+    return stream_latest(flat, "order_reference", fields)
 
 
 # --- writing and reading ------------------------------------------------------------------
 
 
-def start(stream: DataFrame, table: str, checkpoint: str, mode: str = "update") -> StreamingQuery:
+def start(
+    stream: DataFrame, table: str, checkpoint: str, mode: str = "update", unique: tuple[str, ...] = ()
+) -> StreamingQuery:
     """Write what a stream yields as one folder per micro-batch, then stop.
 
-    A micro-batch that is run again replaces its own folder.
+    A micro-batch that is run again replaces its own folder. Rows that repeat
+    the columns ``unique`` within a micro-batch are written once.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
+        rows = batch.dropDuplicates(list(unique)) if unique else batch
+        rows.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
 
     return (
         stream.writeStream.outputMode(mode)
@@ -198,15 +180,26 @@ def start(stream: DataFrame, table: str, checkpoint: str, mode: str = "update")
     )
 
 
-def run(stream: DataFrame, name: str, mode: str = "update") -> DataFrame:
+def run(stream: DataFrame, name: str, mode: str = "update", unique: tuple[str, ...] = ()) -> DataFrame:
     """Process what is available and return the written updates with their batch."""
     spark = stream.sparkSession
     base = f"{shared_dir(spark)}/streams/{name}-{uuid.uuid4().hex}"
     schema = stream.schema
-    start(stream, f"{base}/table", f"{base}/checkpoint", mode).awaitTermination()
+    start(stream, f"{base}/table", f"{base}/checkpoint", mode, unique).awaitTermination()
     return spark.read.schema(schema.add("batch", "long")).option("basePath", f"{base}/table").parquet(f"{base}/table")
 
 
+def settled(written: DataFrame, unique: tuple[str, ...]) -> DataFrame:
+    """Written rows without repetitions, whichever batches they came in."""
+    return written.drop("batch").dropDuplicates(list(unique))
+
+
+def active_from(changes: DataFrame) -> DataFrame:
+    """Active shipments from the written starts and deliveries."""
+    kind = F.col("event_type")
+    return active_shipments(changes.filter(kind == "TransportStarted"), changes.filter(kind == "DeliveryCompleted"))
+
+
 def last_updates(updates: DataFrame, keys: list[str]) -> DataFrame:
     """The last update per key and day."""
     values = [c for c in updates.columns if c not in (*keys, "batch")]
@@ -217,8 +210,8 @@ def last_updates(updates: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def latest_of_days(updates: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """Current values per key from the updates of all days."""
+def latest_of_updates(updates: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """Current values per key from the updates of all batches."""
     return (
         updates.groupBy(key)
         .agg(F.max(F.struct("updated_at", *fields)).alias("v"))
@@ -233,7 +226,7 @@ def expiring(state: DataFrame, ttl: Column | int) -> DataFrame:
 
 def current_status(updates: DataFrame) -> DataFrame:
     """Current shipment status from the written updates."""
-    return expiring(latest_of_days(updates, SHIPMENT, ["rank", "status"]).drop("rank"), status_ttl())
+    return expiring(latest_of_updates(updates, SHIPMENT, ["rank", "status"]).drop("rank"), status_ttl())
 
 
 def counter_totals(updates: DataFrame) -> DataFrame:

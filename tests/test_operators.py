@@ -15,21 +15,26 @@ from freightloom.operators import graph, lifecycle, live, manifest, quality, ske
 NOW = datetime(2026, 3, 1)
 
 
-def test_bounded_lists_split_a_hot_key_and_keep_every_element(spark):
-    rows = [("hot", i) for i in range(5000)] + [("cold", i) for i in range(7)]
-    df = spark.createDataFrame(rows, "k string, v int")
-    parts = skew.bounded_lists(df, ["k"], F.col("v"), "vs", part_size=500).collect()
-    hot = [p for p in parts if p.k == "hot"]
-    assert len(hot) == 10 and max(len(p.vs) for p in hot) < 700
-    assert sorted(v for p in hot for v in p.vs) == list(range(5000))
-    assert all(p.vs == sorted(p.vs) for p in parts)
-    assert [(p.part, p.vs) for p in parts if p.k == "cold"] == [(0, list(range(7)))]
-
-
-def test_bounded_lists_without_key(spark):
-    df = spark.range(100).select(F.col("id"))
-    parts = skew.bounded_lists(df, [], F.col("id"), "ids", part_size=30).collect()
-    assert sorted(i for p in parts for i in p.ids) == list(range(100)) and len(parts) > 1
+def test_parts_of_a_hot_key_lie_in_several_tasks_and_join_to_the_sorted_list(spark):
+    rows = [("hot", i) for i in range(20_000)] + [(f"cold {i}", i) for i in range(10_000)]
+    df = spark.createDataFrame(rows, "k string, v int").repartition(4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        listed = skew.bounded_lists(df, ["k"], F.col("v"), "vs", F.floor(F.col("v") / 500).cast("int"))
+        parts = listed.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    hot = sorted((p for p in parts if p.k == "hot"), key=lambda p: p.part)
+    assert len({p.task for p in hot}) > 1 and all(len(p.vs) == 500 for p in hot)
+    assert [v for p in hot for v in p.vs] == list(range(20_000))
+    assert all((p.part, p.vs) == (int(p.k[5:]) // 500, [int(p.k[5:])]) for p in parts if p.k != "hot")
+
+
+def test_lists_without_key(spark):
+    parts = skew.bounded_lists(spark.range(100), [], F.col("id"), "ids", F.floor(F.col("id") / 30)).collect()
+    assert [i for p in sorted(parts, key=lambda p: p.part) for i in p.ids] == list(range(100)) and len(parts) == 4
 
 
 def test_first_per_key_limits_before_the_shuffle(spark):
@@ -69,8 +74,8 @@ def test_key_functions_in_sql(spark):
     assert (row.a, row.b) == ("BAN-101", "ban-101")
 
 
-def _positions(spark, count, ship="S"):
-    rows = [(ship, NOW + timedelta(seconds=i), Decimal("1.5"), Decimal("2.5"), Decimal("12.00"), Decimal("50.00")) for i in range(count)]
+def _positions(spark, count, ship="S", step=timedelta(seconds=1)):
+    rows = [(ship, NOW + i * step, Decimal("1.5"), Decimal("2.5"), Decimal("12.00"), Decimal("50.00")) for i in range(count)]
     return spark.createDataFrame(
         rows,
         "shipment_identifier string, event_timestamp timestamp_ntz, latitude decimal(9,6), longitude decimal(9,6), "
@@ -78,7 +83,7 @@ def _positions(spark, count, ship="S"):
     )
 
 
-def test_lifecycle_of_a_hot_shipment_comes_in_parts(spark):
+def test_lifecycle_of_a_hot_shipment_comes_in_parts_by_day(spark):
     started = spark.createDataFrame(
         [("S", NOW, "ban-1", "A", "B", "TRUCK", ("C", "c"), NOW)],
         "shipment_identifier string, event_timestamp timestamp_ntz, cargo_product_reference string, source_node string, target_node string, "
@@ -86,12 +91,14 @@ def test_lifecycle_of_a_hot_shipment_comes_in_parts(spark):
     )
     done = spark.createDataFrame([("S", NOW, "B", 5)], "shipment_identifier string, event_timestamp timestamp_ntz, arrival_node string, delay_minutes int")
     final = spark.createDataFrame([], "shipment_identifier string, event_timestamp timestamp_ntz, delivery_status string, received_by string")
-    points = _positions(spark, 300)
-    docs = lifecycle.shipment_lifecycle(started, points.union(points), done, final, part_size=50).collect()
-    assert len(docs) == 7 and {d.delivery_status for d in docs} == {"TRANSPORT_COMPLETED"}
-    assert sum(len(d.events) for d in docs) == 302
-    assert {d.updated_at for d in docs} == {NOW + timedelta(seconds=299)}
-    assert live.route_history(points, part_size=1000).first().part == 0
+    points = _positions(spark, 300, step=timedelta(minutes=15))
+    docs = lifecycle.shipment_lifecycle(started, points.union(points), done, final).collect()
+    assert [(d.delivery_status, d.updated_at) for d in docs] == [("TRANSPORT_COMPLETED", points.agg(F.max("event_timestamp")).first()[0])]
+    parts = sorted(lifecycle.shipment_events(started, points.union(points), done, final).collect(), key=lambda p: p.part)
+    assert [p.part for p in parts] == [20260301, 20260302, 20260303, 20260304]
+    events = [e for p in parts for e in p.events]
+    assert len(events) == 302 and events == sorted(events, key=lambda e: (e.timestamp, e.rank))
+    assert [p.part for p in live.route_history(points).orderBy("part").collect()] == [20260301, 20260302, 20260303, 20260304]
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -129,16 +136,19 @@ def test_shortest_path_on_random_graphs(spark):
     path = graph.shortest_path(edges, "0", str(far), "L", "w", "m").first()
     assert path.hops == distance[far]
     assert all((int(a), int(b)) in links for a, b in zip(path.stations, path.stations[1:]))
+    chain = spark.createDataFrame([("L", f"c{i}", f"c{i + 1}", {"m": "x", "w": "1"}) for i in range(40)], edges.schema)
+    assert graph.shortest_path(chain, "c0", "c40", "L", "w", "m").first().hops == 40
+    assert graph.shortest_path(chain, "c0", "c40", "L", "w", "m", max_hops=39).count() == 0
     nowhere = graph.shortest_path(edges, "0", "none", "L", "w", "m")
     assert nowhere.count() == 0
 
 
 def test_order_texts_of_one_page_and_of_many(spark):
     orders = spark.createDataFrame([(1, "Shop", "Town", "Main"), (2, "Big", "City", "Side")], "order_id long, customer_name string, city string, warehouse string")
-    lines = [(1, 10, 2, Decimal("1.50")), (1, 11, 1, Decimal("2.00"))] + [(2, i, 1, Decimal("1.00")) for i in range(100)]
-    items = spark.createDataFrame(lines, "order_id long, product_id long, quantity int, unit_price decimal(10,2)")
+    lines = [(1, 10, 2, Decimal("1.50"), 0), (1, 11, 1, Decimal("2.00"), None)] + [(2, i, 1, Decimal("1.00"), i) for i in range(100)]
+    items = spark.createDataFrame(lines, "order_id long, product_id long, quantity int, unit_price decimal(10,2), position int")
     products = spark.createDataFrame([(i, f"P{i:03d}") for i in range(100)], "product_id long, product_name string")
-    pages = manifest.order_texts(orders, items, products, part_size=20).collect()
+    pages = manifest.order_texts(orders, items, products, page_lines=20).collect()
     one = next(p for p in pages if p.order_id == 1)
     assert one.invoice_text == "INVOICE 1\nShop (Town)\n\nP010 x 2 = 3.00\nP011 x 1 = 2.00\n\nTOTAL: 5.00"
     assert one.delivery_text == "DELIVERY 1\nWarehouse: Main\n\nP010 -> 2\nP011 -> 1"
