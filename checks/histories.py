@@ -359,6 +359,14 @@ add(
     """SELECT DISTINCT customer_name, order_reference, batch_identifier AS batch, shipment_identifier AS shipment, transport_mode, carrier_name FROM v_orders JOIN v_customers USING (customer_id) JOIN v_order_items USING (order_id) JOIN v_batches b USING (product_id)
     JOIN v_shipments ON cargo_product_reference = b.tms_product_reference JOIN v_carriers USING (carrier_id) WHERE order_reference = 'ORD-7'""",
 )
+add(
+    "GR-11_chain_ends",
+    "kind:s id:s carrier_code:s",
+    lambda d: graph.fulfilment_chain_ends(_graph(d)[1], graph.hub_edges(d.tables), "ORD-7").select("kind", "id", "carrier_code").distinct(),
+    """WITH own AS (SELECT DISTINCT product_id FROM v_orders JOIN v_order_items USING (order_id) WHERE order_reference = 'ORD-7')
+    SELECT 'batch' AS kind, batch_identifier AS id, NULL AS carrier_code FROM v_batches JOIN own USING (product_id)
+    UNION ALL SELECT 'shipment', shipment_identifier, carrier_code FROM v_shipments JOIN v_carriers USING (carrier_id) WHERE CAST(substr(cargo_product_reference, 5) AS BIGINT) IN (SELECT product_id FROM own)""",
+)
 add(
     "GR-11_chain_summary",
     "order_reference:s batches:i shipments:i",

@@ -390,7 +390,12 @@ def batch_path(nodes: DataFrame, edges: DataFrame, batch_identifier: str | None
 
 
 def fulfilment_chain(nodes: DataFrame, edges: DataFrame, hubs: DataFrame, order_reference: str) -> DataFrame:
-    """Customer, order, batch, shipment and carrier of one order."""
+    """Customer, order, batch, shipment and carrier of one order.
+
+    The pairs of batches and shipments are formed on request only; the number
+    of rows is that of the pairs of each product. ``fulfilment_chain_ends``
+    tells the same in linear size.
+    """
     order = constant(edges.sparkSession, [(order_reference,)], "id string")
     triggered = expand(hubs, "TRIGGERED", order).select(F.col("src").alias("order_reference"), F.col("dst").alias("batch"))
     via = expand(hubs, "TRANSPORTED_VIA", triggered.select(F.col("batch").alias("id"))).select(
@@ -409,6 +414,21 @@ def fulfilment_chain(nodes: DataFrame, edges: DataFrame, hubs: DataFrame, order_
     )
 
 
+def fulfilment_chain_ends(edges: DataFrame, hubs: DataFrame, order_reference: str) -> DataFrame:
+    """Batches and carried shipments that one order reaches: hub, kind, id, carrier_code.
+
+    Every batch of a hub goes with every shipment of the same hub, so the two
+    lists of ends say what all their pairs would.
+    """
+    mine = hubs.filter((F.col("type") == "TRIGGERED") & (F.col("side") == "src") & (F.col("id") == order_reference)).select("hub").distinct()
+    batches = hubs.filter((F.col("type") == "TRIGGERED") & (F.col("side") == "dst")).join(mine, "hub", "left_semi")
+    shipments = hubs.filter((F.col("type") == "TRANSPORTED_VIA") & (F.col("side") == "dst")).join(mine, "hub", "left_semi")
+    carried = shipments.select("hub", F.col("id").alias("shipment")).join(of_type(edges, "TRANSPORTED_BY", "shipment", "carrier_code"), "shipment")
+    return batches.select("hub", F.lit("batch").alias("kind"), "id", F.lit(None).cast("string").alias("carrier_code")).unionByName(
+        carried.select("hub", F.lit("shipment").alias("kind"), F.col("shipment").alias("id"), "carrier_code")
+    )
+
+
 def fulfilment_chain_summary(edges: DataFrame, hubs: DataFrame) -> DataFrame:
     """Per order: batches and carried shipments its chain reaches.
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,11 +39,9 @@ class TableStore:
     def read(self, name: str) -> DataFrame | None:
         """The table, or None if nothing was written yet."""
         version = self._newest(name)
-        path = self.path(name) if version is None else f"{self.path(name)}/v={version}"
-        try:
-            return self.spark.read.parquet(path)
-        except AnalysisException:
-            return None
+        if version is not None:
+            return self.spark.read.parquet(f"{self.path(name)}/v={version}")
+        return self.spark.read.parquet(self.path(name)) if self._appended(name) else None
 
     def table(self, name: str) -> DataFrame:
         """The table; an error if it is missing."""
@@ -60,37 +57,67 @@ class TableStore:
         version = (self._newest(name) or 0) + 1
         rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.path(name)}/v={version}")
 
-    def _newest(self, name: str) -> int | None:
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path(name))
+    def _listed(self, name: str) -> list:
+        """Paths in the folder of a table, and the file system; nothing if there is no folder."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
         fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(folder):
-            return None
+        return [(s.getPath(), fs) for s in fs.listStatus(folder)] if fs.exists(folder) else []
+
+    def _newest(self, name: str) -> int | None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
         versions = [
-            int(s.getPath().getName()[2:])
-            for s in fs.listStatus(folder)
-            if s.getPath().getName().startswith("v=")
-            and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))
+            int(p.getName()[2:])
+            for p, fs in self._listed(name)
+            if p.getName().startswith("v=") and fs.exists(path(p, "_SUCCESS"))
         ]
         return max(versions, default=None)
 
+    def _appended(self, name: str) -> bool:
+        """Whether an append was ever finished: there is a file or partition besides markers and versions."""
+        names = [p.getName() for p, _ in self._listed(name)]
+        return any(not n.startswith(("_", ".", "v=")) for n in names)
+
 
 def stage_events(store: TableStore, events: DataFrame) -> None:
     """Write parsed events by type, so that each loader reads its own type only.
 
-    Unreadable inputs go to the quarantine table with their file.
+    Unreadable inputs go to the quarantine table with their file. Each file is
+    staged once: what is in either table already is left out, so staging the
+    same folder again adds nothing.
     """
+
+    def fresh(rows: DataFrame, name: str) -> DataFrame:
+        staged = store.read(name)
+        return rows if staged is None else rows.join(staged.select("source_file").distinct(), "source_file", "left_anti")
+
     if CORRUPT in events.columns:
-        bad = corrupt_events(events)
-        store.append("quarantine", bad)
+        store.append("quarantine", fresh(corrupt_events(events), "quarantine"))
         events = events.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    store.append("events", events, ["event_type"])
+    store.append("events", fresh(events, "events"), ["event_type"])
 
 
 def _events(store: TableStore, event_type: str) -> DataFrame:
     return route(store.table("events"), event_type)
 
 
+#: What an event must name to be loaded.
+KEYS = {
+    "SupplierCreated": "supplier_code",
+    "CustomerCreated": "customer_number",
+    "ProductCreated": "product_code",
+    "WarehouseSKUCreated": "sku",
+    "CarrierCreated": "carrier_code",
+    "TransportProductReferenceCreated": "transport_product_reference",
+    "OrderCreated": "order_reference",
+    "BatchHarvested": "batch_identifier",
+    "NodeProcessed": "batch_reference",
+    "TransportStarted": "shipment_identifier",
+    "ShipmentPositionUpdated": "shipment_identifier",
+    "TransportCompleted": "shipment_identifier",
+    "DeliveryCompleted": "shipment_identifier",
+}
+
+
 def load_operational(store: TableStore) -> None:
     """Load the operational tables from the staged events."""
     nodes = R.supply_chain_nodes(store.spark)
@@ -106,7 +133,13 @@ def load_operational(store: TableStore) -> None:
             rejected_events.append(rejects.select(F.lit(name).alias("table_name"), "reason", "event_timestamp"))
 
     def of(event_type: str) -> DataFrame:
-        return _events(store, event_type)
+        """Events of one type that name their key; the others are rejected."""
+        events, key = _events(store, event_type), F.col(KEYS[event_type])
+        missing = events.filter(key.isNull())
+        rejected_events.append(
+            missing.select(F.lit(event_type).alias("table_name"), F.lit("missing_" + KEYS[event_type]).alias("reason"), "event_timestamp")
+        )
+        return events.filter(key.isNotNull())
 
     load("suppliers", ops.build_suppliers(of("SupplierCreated"), store.read("suppliers")))
     load("customers", ops.build_customers(of("CustomerCreated"), store.read("customers")))
@@ -155,7 +188,8 @@ def load_star(store: TableStore) -> None:
     store.append(
         "dim_supply_chain_node", star.dim_supply_chain_node(t("supply_chain_nodes"), store.read("dim_supply_chain_node"))
     )
-    store.replace("dim_date", R.calendar_of(t("orders"), "order_timestamp"))
+    moments = t("orders").select(F.col("order_timestamp").alias("at")).unionByName(t("deliveries").select(F.col("delivered_at").alias("at")))
+    store.replace("dim_date", R.calendar_of(moments, "at"))
     store.replace("dim_delivery_status", R.delivery_statuses(store.spark))
     dims = star.Dimensions(
         t("dim_customer"), t("dim_product"), t("dim_supplier"), t("dim_carrier"), t("dim_supply_chain_node"),

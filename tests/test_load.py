@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from freightloom.operators import catalogue, graph, live, mdm, quality
 from freightloom.plans import kpi, load
 from freightloom.plans import reports as rpt
+from freightloom.sources.relations import calendar_of
 from freightloom.sources.events import corrupt_events, read_events, route
 
 LOADED = [
@@ -82,6 +84,49 @@ def test_loading_again_changes_nothing(store):
         assert sorted(map(str, store.table(name).collect())) == rows
 
 
+def test_staging_again_changes_nothing(spark, store, tmp_path):
+    write(tmp_path / "in")
+    other = load.TableStore(spark, str(tmp_path / "out"))
+    for _ in range(2):
+        for system in ("erp", "wms", "tms"):
+            load.stage_events(other, read_events(spark, str(tmp_path / "in"), system))
+        _all(other)
+        assert {n: other.table(n).count() for n in ("events", "quarantine", "rejects")} == {
+            n: store.table(n).count() for n in ("events", "quarantine", "rejects")
+        }
+        assert _counts(other) == EXPECTED
+
+
+def test_events_without_key_are_rejected(spark, tmp_path):
+    folder = tmp_path / "in" / "erp"
+    folder.mkdir(parents=True)
+    rows = [{"event_type": "SupplierCreated", "timestamp": "2026-03-01T00:00:00", "supplier_name": "none"}, {"event_type": "SupplierCreated", "timestamp": "2026-03-01T00:00:00", "supplier_code": "S1"}]
+    (folder / "a.json").write_text("\n".join(map(json.dumps, rows)), encoding="utf-8")
+    store = load.TableStore(spark, str(tmp_path / "out"))
+    load.stage_events(store, read_events(spark, str(tmp_path / "in"), "erp", multi_line=False))
+    for _ in range(2):
+        load.load_operational(store)
+        assert [r.supplier_code for r in store.table("suppliers").collect()] == ["S1"]
+        assert [r.reason for r in store.table("rejects").collect()] == ["missing_supplier_code"]
+
+
+def test_unreadable_table_is_an_error(spark, tmp_path):
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0.parquet").write_text("not parquet")
+    store = load.TableStore(spark, str(tmp_path))
+    assert store.read("nothing") is None
+    with pytest.raises(Exception, match="(?i)parquet|footer"):
+        store.read("bad").collect()
+
+
+def test_every_day_of_the_fact_is_in_the_calendar(spark, store):
+    for key in ("order_date_sk", "delivery_date_sk"):
+        days = store.table("dim_date").select(F.col("date_sk").alias(key))
+        assert store.table("fact_fulfillment").filter(F.col(key).isNotNull()).join(days, key, "left_anti").count() == 0
+    late = spark.sql("SELECT TIMESTAMP_NTZ '2025-12-30 10:00:00' AS at UNION ALL SELECT TIMESTAMP_NTZ '2026-01-02 10:00:00'")
+    assert calendar_of(late, "at").filter("date_sk = 20260102").count() == 1
+
+
 def test_order_of_files_does_not_matter(spark, store, tmp_path):
     write(tmp_path / "in", reverse=True)
     other = load.TableStore(spark, str(tmp_path / "out"))
