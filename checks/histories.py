@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -494,6 +495,18 @@ add("LIV-7_alert_counter", "temperature_alerts:i", lambda d: live.alert_counter(
 _ORDER_DAYS = "SELECT CAST(strftime(order_timestamp, '%Y%m%d') AS INTEGER) AS day, COUNT(*) AS orders FROM v_orders JOIN v_customers USING (customer_id) GROUP BY 1"
 add("LIV-7_orders_per_day", "day:i orders:i", lambda d: live.orders_per_day(d["order_events"]), _ORDER_DAYS)
 _ORDER_EVENTS = "v_orders JOIN v_customers USING (customer_id)"
+add(
+    "LIV-7_orders_today",
+    "orders_today:i",
+    lambda d: live.orders_today(d["order_events"], datetime(1995, 6, 15, 12)),
+    f"SELECT COUNT(*) AS orders_today FROM {_ORDER_EVENTS} WHERE CAST(order_timestamp AS DATE) = DATE '1995-06-15'",
+)
+add(
+    "LIV-7_load_runs",
+    "etl_runs:i",
+    lambda d: live.load_runs(d.base("events").select(F.to_date("ts").alias("loaded_on")).distinct()),
+    "SELECT COUNT(DISTINCT CAST(ts AS DATE)) AS etl_runs FROM events",
+)
 add(
     "LIV-8_order_status",
     "order_reference:s status:s updated_at:t expires_at:t",

@@ -490,6 +490,27 @@ add(
     """SELECT node_id, CAST(floor(temperature) AS BIGINT) AS part, COUNT(*) AS elements, MIN(temperature) AS first_value, MAX(temperature) AS last_value, TRUE AS ordered FROM v_node_processings WHERE temperature IS NOT NULL GROUP BY 1, 2""",
 )
 
+# --- SQL over the tables -----------------------------------------------------------------
+
+
+def _by_sql(d: Driver) -> DataFrame:
+    """The tables as views, and the key functions by name."""
+    keys.register_sql_functions(d.spark)
+    for name in ("shipments", "carriers"):
+        d[name].createOrReplaceTempView(f"sql_{name}")
+    return d.spark.sql(
+        "SELECT normalize_key(cargo_product_reference) AS product_code, carrier_name, COUNT(*) AS shipments "
+        "FROM sql_shipments JOIN sql_carriers USING (carrier_id) GROUP BY 1, 2"
+    )
+
+
+add(
+    "SRC-7_sql_over_tables",
+    "product_code:s carrier_name:s shipments:i",
+    _by_sql,
+    "SELECT upper(cargo_product_reference) AS product_code, carrier_name, COUNT(*) AS shipments FROM v_shipments JOIN v_carriers USING (carrier_id) GROUP BY 1, 2",
+)
+
 # --- reports ---------------------------------------------------------------------------
 
 add(
