@@ -70,25 +70,26 @@ def first_order_per_product(
     """The earliest order line of each product that has a supplier.
 
     The minimum over a struct is taken before the shuffle too, so a product
-    with a third of all lines does not gather in one task.
+    with a third of all lines does not gather in one task. The customer is
+    looked up for the rows that are left; orders without one are rejected when
+    they are loaded.
     """
-    heads = orders.join(customers.select("customer_id", "customer_number"), "customer_id")
-    lines = order_items.join(heads, "order_id")
+    lines = order_items.join(orders, "order_id")
     first = lines.groupBy("product_id").agg(
         F.min(
             F.struct(
-                "order_timestamp", "item_id", "order_reference", "delivery_priority", "customer_number", "quantity",
-                "unit_price",
+                "order_timestamp", "item_id", "order_reference", "delivery_priority", "customer_id", "quantity", "unit_price",
             )
         ).alias("o")
     )
     supplied = products.join(suppliers.select("supplier_id", "supplier_code"), "supplier_id").select(
         "product_id", "product_code", "supplier_code"
     )
-    return first.join(supplied, "product_id").select(
+    named = first.join(supplied, "product_id").withColumn("customer_id", F.col("o.customer_id"))
+    return named.join(customers.select("customer_id", "customer_number"), "customer_id").select(
         "product_code",
         "supplier_code",
-        "o.customer_number",
+        "customer_number",
         "o.order_reference",
         "o.delivery_priority",
         date_key("o.order_timestamp").alias("order_date_sk"),
