@@ -106,7 +106,7 @@ def judge(pages: DataFrame, rules: DataFrame, id_column: str = "page_id", url_co
     """
     host, path, whole = parsed(F.col(url_column).cast("string"))
     urls = pages.select(F.col(id_column).alias("id"), host.alias("host"), path.alias("path"), whole.alias("whole"))
-    rules = compiled(rules)
+    rules = staged(compiled(rules), "compiled")  # so that Spark knows how small they are
 
     literals = rules.select("rank", F.explode_outer("literals").alias("token")).withColumn("token", F.coalesce("token", F.lit("")))
     wanted = literals.select("token").distinct()
