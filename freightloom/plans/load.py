@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freightloom.operators import lifecycle, manifest, mdm
+from freightloom.operators import lifecycle, manifest, mdm, quality
 from freightloom.operators import operational as ops
 from freightloom.operators.writes import append, load_statistics
 from freightloom.plans import star
@@ -118,6 +118,18 @@ KEYS = {
 }
 
 
+#: Tables whose allowed values are checked on the events, which have the same columns.
+CONSTRAINED = {
+    "OrderCreated": "orders",
+    "BatchHarvested": "batches",
+    "NodeProcessed": "node_processings",
+    "TransportStarted": "shipments",
+    "ShipmentPositionUpdated": "shipment_positions",
+    "TransportCompleted": "transport_completions",
+    "DeliveryCompleted": "deliveries",
+}
+
+
 def load_operational(store: TableStore) -> None:
     """Load the operational tables from the staged events."""
     nodes = R.supply_chain_nodes(store.spark)
@@ -133,13 +145,21 @@ def load_operational(store: TableStore) -> None:
             rejected_events.append(rejects.select(F.lit(name).alias("table_name"), "reason", "event_timestamp"))
 
     def of(event_type: str) -> DataFrame:
-        """Events of one type that name their key; the others are rejected."""
-        events, key = _events(store, event_type), F.col(KEYS[event_type])
-        missing = events.filter(key.isNull())
+        """Events of one type that name their key and satisfy the constraints of their table; the others are rejected.
+
+        They are rejected before the first event of a key is chosen, so a
+        later valid event of the same key is loaded.
+        """
+        events, key = _events(store, event_type), KEYS[event_type]
+        reason = F.when(F.col(key).isNull(), F.lit(f"missing_{key}"))
+        if event_type in CONSTRAINED:
+            for column, broken in quality.constraint_rules()[CONSTRAINED[event_type]].items():
+                reason = reason.when(broken, F.lit(f"invalid_{column}"))
+        tagged = events.withColumn("reason", reason)
         rejected_events.append(
-            missing.select(F.lit(event_type).alias("table_name"), F.lit("missing_" + KEYS[event_type]).alias("reason"), "event_timestamp")
+            tagged.filter("reason IS NOT NULL").select(F.lit(event_type).alias("table_name"), "reason", "event_timestamp")
         )
-        return events.filter(key.isNotNull())
+        return tagged.filter("reason IS NULL").drop("reason")
 
     load("suppliers", ops.build_suppliers(of("SupplierCreated"), store.read("suppliers")))
     load("customers", ops.build_customers(of("CustomerCreated"), store.read("customers")))
@@ -153,9 +173,14 @@ def load_operational(store: TableStore) -> None:
     order_events = of("OrderCreated")
     orders, rejected = ops.build_orders(order_events, store.table("customers"), store.read("orders"))
     load("orders", (orders, rejected.withColumnRenamed("order_timestamp", "event_timestamp")))
-    load(
-        "order_items",
-        ops.build_order_items(order_events, store.table("orders"), store.table("products"), store.read("order_items")),
+    items, rejected = ops.build_order_items(order_events, store.table("orders"), store.table("products"), store.read("order_items"))
+    items, broken = quality.enforce("order_items", items)
+    load("order_items", (items, rejected))
+    rejected_events.append(
+        broken.select(
+            F.lit("order_items").alias("table_name"), F.concat(F.lit("invalid_"), "reason").alias("reason"),
+            F.lit(None).cast("timestamp_ntz").alias("event_timestamp"),
+        )
     )
     load("batches", ops.build_batches(of("BatchHarvested"), store.table("products"), store.read("batches")))
     load("node_processings", ops.build_node_processings(of("NodeProcessed"), nodes, store.read("node_processings")))

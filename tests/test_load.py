@@ -110,6 +110,20 @@ def test_events_without_key_are_rejected(spark, tmp_path):
         assert [r.reason for r in store.table("rejects").collect()] == ["missing_supplier_code"]
 
 
+def test_events_that_break_a_constraint_are_rejected_and_later_ones_loaded(spark, tmp_path):
+    folder = tmp_path / "in" / "wms"
+    folder.mkdir(parents=True)
+    base = {"event_type": "BatchHarvested", "batch_identifier": "B1", "product_code": "BAN-1"}
+    rows = [base | {"timestamp": "2026-03-01T00:00:00", "quantity": -5}, base | {"timestamp": "2026-03-02T00:00:00", "quantity": 7}]
+    (folder / "a.json").write_text("\n".join(map(json.dumps, rows)), encoding="utf-8")
+    store = load.TableStore(spark, str(tmp_path / "out"))
+    load.stage_events(store, read_events(spark, str(tmp_path / "in"), "wms", multi_line=False))
+    for _ in range(2):
+        load.load_operational(store)
+        assert [(r.batch_identifier, r.quantity) for r in store.table("batches").collect()] == [("B1", 7)]
+        assert [r.reason for r in store.table("rejects").collect()] == ["invalid_quantity"]
+
+
 def test_unreadable_table_is_an_error(spark, tmp_path):
     (tmp_path / "bad").mkdir()
     (tmp_path / "bad" / "part-0.parquet").write_text("not parquet")
