@@ -9,8 +9,8 @@ words of that length lies whole within one.
 A passage is first bounded for all items at once, by the block maxima of its
 terms summed in numpy; only passages in whose bound some block reaches the
 threshold are searched, by block-max WAND with exact scores. What is retrieved
-is then verified: shared shingles of five words, and the words of question and
-answer that such shingles cover.
+is then verified: shared shingles of five words, and, of items that have a
+question and an answer, the words of each that such shingles cover.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from freightloom.llm.common import field_of, slices, text_of
 
 WORDS = re.compile(r"[^\W_]+")
+#: End of a question that something follows; a question mark within a word or address ends none.
+QUESTION_END = re.compile(r"""[?؟][?!؟"')\]»”’]*\s|？""")
 K1, B = 1.2, 0.75
 #: Share of an item's own score at which a passage is retrieved.
 THRESHOLD = 0.6
@@ -50,13 +52,10 @@ def words_of(text: str) -> list[str]:
 
 
 def parts_of(text: str) -> int:
-    """Number of words of the question; the answer follows the last question mark, else it is the last sentence."""
+    """Number of words of the question if the item has a question and an answer after it, else 0: it is checked as a whole."""
     body = text.rstrip()
-    cut = body.rfind("?", 0, len(body) - 1) + 1
-    if not cut:
-        ends = [m.end() for m in re.finditer(r"[.!?:]\s|\n", body)]
-        cut = ends[-1] if ends else 0
-    return len(words_of(body[:cut]))
+    ends = [m.end() for m in QUESTION_END.finditer(body)]
+    return len(words_of(body[: ends[-1]])) if ends else 0
 
 
 class Index:

@@ -89,3 +89,15 @@ def test_several_indexes_find_the_same(spark):
     text = "x " * 30 + ITEMS[11] + " y" * 30
     found = [(ids[hit[0]], [round(v, 9) for v in hit[1:]]) for index, ids in parts for hit in index.leaks(text)]
     assert found == [(whole[0][1][hit[0]], [round(v, 9) for v in hit[1:]]) for hit in whole[0][0].leaks(text)] != []
+
+
+def test_item_without_its_last_sentence():
+    """Only an item with a question and an answer is checked by parts; any other leaks at 0.8 of its shingles."""
+    body = " ".join(DICE.choices(VOCABULARY, k=60))
+    plain, asked, address = f"{body}. rareend 17.", f"{body}? rareend 17.", f"{body} https://w1.org/a?w2=w3. rareend 17."
+    assert [dc.parts_of(t) > 0 for t in (plain, asked, address, f"{body}?")] == [False, True, False, False]
+    index = index_of([*ITEMS, plain, asked + " rareother", address])
+    found = {hit[0]: hit[2:] for hit in index.leaks(f"w1 w2 {body} w3")}
+    at = len(ITEMS)
+    assert at + 1 not in found
+    assert all(found[i][0] >= dc.SIMILARITY and found[i][1:] == (found[i][1],) * 2 for i in (at, at + 2))
