@@ -4,13 +4,15 @@ A page is cut into tags and text in one pass, built into a tree (end tags that
 authors may leave out are implied), and the tree is walked once: what is not
 shown is left out, blocks stand on lines of their own, paragraphs have a blank
 line between them, list items a marker, and the cells of a table line up.
-Nothing recurses, and nothing looks back further than the depth of the tree.
+Every element is opened, however deep it lies: nothing recurses, and the open
+elements of a tag are found by their positions, not by looking back.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
 
@@ -48,7 +50,8 @@ IMPLIED = {
 }
 IMPLIED |= {"tbody": IMPLIED["thead"], "tfoot": IMPLIED["thead"]}
 HEADINGS = frozenset(f"h{n}" for n in range(1, 7))
-#: Deeper elements become children of the element at this depth.
+#: Levels by which a line is indented at most. Deeper elements are opened and shown like any other; without a bound
+#: on the blanks before a line, the text of nested lists would grow with the square of the page.
 DEEPEST = 512
 #: Cells up to this width are padded; a wider cell does not widen its column.
 WIDEST_COLUMN = 40
@@ -116,31 +119,30 @@ def pieces(html: str) -> Iterator[tuple[str, object, object]]:
 def tree(html: str) -> Node:
     """The page as a tree, with implied end tags and table rows put in."""
     root = Node("#root", {})
-    stack, count = [root], Counter()
+    stack: list[Node] = [root]
+    places: dict[str, list[int]] = defaultdict(list)  # of the open elements of each tag in the stack
+
+    def last(tags: tuple) -> int:
+        """Position of the innermost open element of some tags, 0 without one."""
+        return max((places[t][-1] for t in tags if places[t]), default=0)
 
     def pop_to(i: int) -> None:
         for node in stack[i:]:
-            count[node.tag] -= 1
+            places[node.tag].pop()
         del stack[i:]
 
     def close(tags: tuple, stops: tuple) -> None:
-        if not any(count[t] for t in tags):
-            return
-        found = None
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in stops:
-                break
-            if stack[i].tag in tags:
-                found = i
-        if found is not None:
-            pop_to(found)
+        stop = last(stops)
+        found = [places[t][i] for t in tags if (i := bisect_right(places[t], stop)) < len(places[t])]
+        if found:
+            pop_to(min(found))
 
     def open_(tag: str, attributes: dict[str, str]) -> None:
         node = Node(tag, attributes)
         stack[-1].children.append(node)
-        if tag not in VOID and len(stack) < DEEPEST:
+        if tag not in VOID:
+            places[tag].append(len(stack))
             stack.append(node)
-            count[tag] += 1
 
     for kind, what, attributes in pieces(html):
         if kind == "text":
@@ -148,7 +150,7 @@ def tree(html: str) -> Node:
                 pop_to(len(stack) - 1)
             stack[-1].children.append(what)
         elif kind == "start":
-            if count["head"] and what not in HEAD and stack[-1].tag == "head":
+            if what not in HEAD and stack[-1].tag == "head":
                 pop_to(len(stack) - 1)
             if what in BLOCKS:
                 close(("p",), ("button", "td", "th", "caption", "object", "table"))
@@ -156,17 +158,13 @@ def tree(html: str) -> Node:
                 close(*IMPLIED[what])
             if what in HEADINGS and stack[-1].tag in HEADINGS:
                 pop_to(len(stack) - 1)
-            if what in CELLS and count["table"] and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
+            if what in CELLS and places["table"] and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
                 open_("tr", {})
             open_(what, attributes)
-        elif count[what]:
+        elif places[what]:
             walls = ("table",) if what in CELLS or what == "tr" else () if what in ("table", "body", "html") else ("td", "th", "table")
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == what:
-                    pop_to(i)
-                    break
-                if stack[i].tag in walls:
-                    break
+            if places[what][-1] >= last(walls):
+                pop_to(places[what][-1])
         elif what == "br":
             open_("br", {})
     return root
@@ -203,7 +201,8 @@ class Flow:
         if not self.parts:
             if self.lines and self.gap > 1:
                 self.lines.append("")
-            self.parts.append("  " * max(0, self.indent - 1) + self.marker if self.marker else "  " * self.indent)
+            indent = min(self.indent, DEEPEST)
+            self.parts.append("  " * max(0, indent - 1) + self.marker if self.marker else "  " * indent)
             self.gap, self.marker = 0, ""
         self.parts.append(body)
 

@@ -43,6 +43,27 @@ def test_deep_and_long_pages():
     assert max(map(len, wide[1:])) < 50
 
 
+@pytest.mark.parametrize("tag", ["font", "b", "span", "div"])
+def test_nothing_changes_below_any_depth(tag):
+    """What is hidden stays hidden, and tables, lists and end tags work, below elements that nobody closes."""
+    deep = f"<{tag}>" * 3 * DEEPEST
+    inner = (
+        "a<script>no()</script><style>no{}</style><i hidden>no</i><u style='display:none'>no<u>no</u></u>z"
+        "<table><tr><th>name<th>n<tr><td>long one<td>7</table><ol><li>c<li>d</ol><p>e"
+    )
+    assert render(deep + inner) == "az\n\nname     | n\nlong one | 7\n\n1. c\n2. d\n\ne"
+    assert render(f"x<div hidden>{deep}no<em>no</em><ul><li>no</ul>{f'</{tag}>' * 3 * DEEPEST}no</div>y") == "xy"
+    assert render(f"<p hidden>{'<b>' * 600}<i>no</i><b><i>no</i></b>no{'</b>' * 601}no<p>yes") == "yes"
+
+
+def test_depth_costs_no_more_than_length():
+    n = 200_000
+    assert render("<b>" * n + "<i>x</i></u>" * n + "</b>" * n) == "x" * n
+    assert render("<p hidden>" + "<b>" * n + "no" + "</b>" * n + "<p>y") == "y"
+    lines = render("<ul><li>x" * 5_000).split("\n")
+    assert len(lines) == 5_000 and lines[9] == "  " * 9 + "- x" and all(line.endswith("- x") for line in lines)
+
+
 def test_rows(spark):
     rows = [(1, "<p>x", "t"), (2, None, "t"), (3, "", "t"), (1, "<p>x", "t"), (None, "<i>y", "t")]
     pages = spark.createDataFrame(rows, "page_id long, html string, text string")
