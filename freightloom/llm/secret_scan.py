@@ -3,8 +3,8 @@
 Strong candidates (assignments, access identifiers, long hexadecimal runs) are
 reported by themselves. Weak candidates are reported only where complementary
 parts of a credential meet: an identifier, a secret and an endpoint that lie in
-one scope and within a window of each other. A scope is a block of text between
-blank lines. The join of the three interval lists is a sweep in order of their
+one scope, however far apart and however long. A scope is a block of text
+between blank lines; a narrower window can be asked for. The join of the three interval lists is a sweep in order of their
 starts, so a text costs time in proportion to its candidates.
 """
 
@@ -30,11 +30,11 @@ LEAST_ASSIGNED, LEAST_ACCESS = 6, 20
 KINDS = ("assign", "access", "hex", "identifier", "key", "endpoint")
 
 # Weak candidates: what may be a part of a credential, if the other parts are near.
-IDENTIFIER = re.compile(r"\b(?:client|user|account|access|tenant|app)(?:[_-]?(?:id|name|key[_-]?id))\b[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9@._-]{4,128})", re.I | re.A)
-KEY = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_-]*[0-9])[A-Za-z0-9+/_-]{20,128}={0,2}(?![A-Za-z0-9+/_=-])")
-ENDPOINT = re.compile(r"\b(?:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|redis|amqps?|mongodb(?:\+srv)?|s3a?|ftps?)://[^\s\"'<>]{3,256}", re.I | re.A)
+IDENTIFIER = re.compile(r"(?<![A-Za-z0-9])(?:client|user|account|access|tenant|app)(?:[_-]?(?:id|name|key[_-]?id))\b[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9@._-]{4,})", re.I | re.A)
+KEY = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}+={0,2}(?![A-Za-z0-9+/_=-])")
+ENDPOINT = re.compile(r"\b(?:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|redis|amqps?|mongodb(?:\+srv)?|s3a?|ftps?)://[^\s\"'<>]{3,}", re.I | re.A)
 BLANK = re.compile(r"\n[\x20\t\r]*\n")
-#: Code points between two parts of one credential at most.
+#: Code points between two parts of one credential at most, where ``weak_spans`` is called by itself; ``find_secrets`` has no such limit.
 WINDOW = 400
 #: Bits a character of a weak key must carry.
 LEAST_ENTROPY = 3.5
@@ -68,18 +68,19 @@ def _free(taken: list[Span], found: Iterator[Span]) -> list[Span]:
     return free
 
 
-def weak_spans(text: str, strong: list[Span], window: int = WINDOW) -> list[Span]:
+def weak_spans(text: str, strong: list[Span], window: float = WINDOW) -> list[Span]:
     """Weak parts in whose scope and window a complementary part lies.
 
     An identifier needs a secret, a key needs an identifier or an access
     identifier, an endpoint needs both an identifier and a secret. Strong
-    spans serve as parts: access as identifier, assign and hex as secret.
+    spans serve as parts: access as identifier, assign and hex as secret. An
+    endpoint is whole also where strong spans lie in it, as in signed URLs.
     """
     keys = _free(strong, ((*m.span(), "key") for m in KEY.finditer(text) if entropy(m[0]) >= LEAST_ENTROPY))
     names = _free(strong, ((*m.span(1), "identifier") for m in IDENTIFIER.finditer(text)))
     if not keys and not names and not strong:
         return []
-    places = _free(strong, ((*m.span(), "endpoint") for m in ENDPOINT.finditer(text)))
+    places = [(*m.span(), "endpoint") for m in ENDPOINT.finditer(text)]
     if not keys and not names and not places:
         return []
     keys = _free(sorted(names + places), iter(keys))
@@ -108,11 +109,12 @@ def weak_spans(text: str, strong: list[Span], window: int = WINDOW) -> list[Span
     return [s for s, parts in zip(spans, met) if s[2] in needs and parts.issuperset(needs[s[2]])]
 
 
-def find_secrets(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW) -> DataFrame:
+def find_secrets(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: float = math.inf) -> DataFrame:
     """``id, spans``: per document the spans ``(start, end, kind)`` in code points, end exclusive, by start and kind.
 
     Kinds are ``assign``, ``access``, ``hex`` (strong) and ``identifier``,
-    ``key``, ``endpoint`` (weak, linked). Null counts as the empty text, which
+    ``key``, ``endpoint`` (weak, linked within their whole scope unless a
+    ``window`` of code points is given). Null counts as the empty text, which
     has no spans. Rows are independent: repeated rows repeat their result, and
     other columns are ignored.
     """

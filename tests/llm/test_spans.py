@@ -92,6 +92,31 @@ def test_weak_links_against_brute_force():
         assert sorted(ss.weak_spans(text, strong)) == want, text
 
 
+def test_weak_parts_of_any_length_and_distance(spark):
+    dice = random.Random(5)
+    long_key = "".join(dice.choices("abcdefgxyzABCXYZ0123456789+/", k=700)) + "9A=="
+    url = f"https://store.example.org/{'part/' * 100}file?X-Amz-Signature={'0123456789abcdef' * 4}&x={'q' * 300}"
+    name = "app." + "n" * 300
+    far = "word " * 400
+    texts = [
+        (f"aws_access_key_id = app77\n{long_key}", [("app77", "identifier"), (long_key, "key")]),
+        (f"client_id: {name} {far} {KEY}", [(name, "identifier"), (KEY, "key")]),
+        (f"MY_USER_ID=app77 {far}\n{url}", [("app77", "identifier"), (url, "endpoint"), ("0123456789abcdef" * 4, "hex")]),
+        (f"{url} {far} {long_key} {far} tenant-name: app77", [(url, "endpoint"), ("0123456789abcdef" * 4, "hex"), (long_key, "key"), ("app77", "identifier")]),
+        (f"client_id: app77 {far}\n\n{long_key}", []),
+        (f"myuser_id_x=app77 superuser_id=app77 {long_key}", []),
+    ]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    found = {r["id"]: [(texts[r["id"]][0][a:b], k) for a, b, k in r["spans"]] for r in ss.find_secrets(docs).collect()}
+    assert found == {i: want for i, (_, want) in enumerate(texts)}
+
+
+def test_long_weak_candidates_take_linear_time():
+    for piece in ("a", "1", "a1=", "1===", "https://", "jdbc:", "jdbc:a", "user_id=", "aws_", "user_id=abcd1 ", f"{KEY} ", "https://a.bc "):
+        text = piece * (400_000 // len(piece))
+        ss.weak_spans(text, ss.strong_spans(text), float("inf"))
+
+
 @pytest.fixture(scope="module")
 def chain():
     return pd.train([pd.labelled(s) for s in SENTENCES])
