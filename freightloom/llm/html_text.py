@@ -13,7 +13,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -26,7 +26,14 @@ from freightloom.llm.common import field_of, slices, text_of
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HEAD = frozenset("base basefont bgsound link meta noframes script style template title noscript".split())
-UNSEEN = frozenset("head script style template title noscript iframe noembed noframes object audio video canvas svg math datalist".split())
+UNSEEN = frozenset("head script style template title noscript iframe noembed noframes object audio video canvas datalist".split())
+#: Within svg and math: what is not drawn, where HTML begins again, and the start tags of HTML that end both.
+UNDRAWN = frozenset("title desc defs metadata annotation annotation-xml mphantom".split())
+INTEGRATION = tuple("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s"
+    " small span strong strike sub sup table tt u ul var".split()
+)
 #: Blocks with a blank line before and after, and blocks on lines of their own.
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu blockquote pre table figure fieldset hr".split())
 LINES = frozenset(
@@ -53,7 +60,7 @@ HEADINGS = frozenset(f"h{n}" for n in range(1, 7))
 #: Levels by which a line is indented at most. Deeper elements are opened and shown like any other; without a bound
 #: on the blanks before a line, the text of nested lists would grow with the square of the page.
 DEEPEST = 512
-#: Cells up to this width are padded; a wider cell does not widen its column.
+#: Cells up to this width are padded; a wider cell does not widen its column, lest one long cell pad every row (see README).
 WIDEST_COLUMN = 40
 MOST_SPAN = 1000
 
@@ -71,8 +78,12 @@ class Node:
         self.tag, self.attributes, self.children = tag, attributes, []
 
 
-def pieces(html: str) -> Iterator[tuple[str, object, object]]:
-    """``("text", text, None)``, ``("start", name, attributes)`` and ``("end", name, None)`` in order."""
+def pieces(html: str, foreign: Callable[[], bool]) -> Iterator[tuple[str, object, object]]:
+    """``("text", text, None)``, ``("start", name, attributes)`` and ``("end", name, None)`` in order.
+
+    ``foreign`` tells whether what was given so far ends within svg or math: only
+    there are sections of CDATA text, and are start tags with a slash also end tags.
+    """
     at, n = 0, len(html)
     while at < n:
         cut = html.find("<", at)
@@ -82,7 +93,11 @@ def pieces(html: str) -> Iterator[tuple[str, object, object]]:
         after = html[cut + 1 : cut + 2]
         if cut > at:
             yield "text", unescape(html[at:cut]), None
-        if after == "!" or after == "?":
+        if html.startswith("<![CDATA[", cut) and foreign():
+            end = html.find("]]>", cut)
+            yield "text", html[cut + 9 : end if end >= 0 else n], None
+            at = end + 3 if end >= 0 else n
+        elif after == "!" or after == "?":
             end = html.find("-->", cut + 4) if html.startswith("<!--", cut) else html.find(">", cut)
             if end < 0:
                 return
@@ -103,9 +118,12 @@ def pieces(html: str) -> Iterator[tuple[str, object, object]]:
             end = html.find(">", at)
             if end < 0:
                 return
+            closed = html[end - 1] == "/" and end > at and tag not in BREAKOUT and (tag in ("svg", "math") or foreign())
             at = end + 1
             yield "start", tag, attributes
-            if tag in RAW:
+            if closed:
+                yield "end", tag, None
+            elif tag in RAW:
                 close = RAW_END[tag].search(html, at)
                 stop = close.start() if close else n
                 yield "text", unescape(html[at:stop]) if tag in ("textarea", "title") else html[at:stop], None
@@ -144,12 +162,26 @@ def tree(html: str) -> Node:
             places[tag].append(len(stack))
             stack.append(node)
 
-    for kind, what, attributes in pieces(html):
+    def foreign() -> bool:
+        return last(("svg", "math")) > last(INTEGRATION)
+
+    for kind, what, attributes in pieces(html, foreign):
         if kind == "text":
+            if foreign() and last(("svg",)) > last(("text", "math")):
+                continue  # svg draws what is in its text elements
             if stack[-1].tag == "head" and what.strip():
                 pop_to(len(stack) - 1)
             stack[-1].children.append(what)
         elif kind == "start":
+            while what in BREAKOUT and foreign():
+                pop_to(last(("svg", "math")))
+            if foreign():
+                if what in UNDRAWN or attributes.get("display") == "none" or attributes.get("visibility") in ("hidden", "collapse"):
+                    attributes["hidden"] = ""
+                if what == "text":
+                    attributes["display"] = "block"
+                open_(what, attributes)
+                continue
             if what not in HEAD and stack[-1].tag == "head":
                 pop_to(len(stack) - 1)
             if what in BLOCKS:
@@ -257,7 +289,7 @@ def render(html: str) -> str:
             flow.text(node, pre > 0)
             continue
         tag = node.tag
-        gap = 2 if tag in SPACED and not (tag in LISTS and len(lists) > (0 if not leaving else 1)) else 1 if tag in BLOCKS else 0
+        gap = 2 if tag in SPACED and not (tag in LISTS and len(lists) > (0 if not leaving else 1)) else 1 if tag in BLOCKS or tag in ("math", "text") and node.attributes.get("display") == "block" else 0
         if not leaving:
             if not seen(node):
                 continue
@@ -296,6 +328,8 @@ def render(html: str) -> str:
             flow.indent -= 1
         elif tag == "li":
             flow.marker = ""
+        elif tag == "mtd":
+            flow.blank = True
         elif tag in ("blockquote", "dd"):
             flow.indent -= 1
         elif tag in ("pre", "textarea"):

@@ -43,6 +43,29 @@ def test_deep_and_long_pages():
     assert max(map(len, wide[1:])) < 50
 
 
+DRAWN = [
+    ("so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math> holds", "so x=12 holds"),
+    ("<math><semantics><mi>y</mi><annotation encoding=TeX>\\no</annotation><annotation-xml><ci>no</ci><p>no</annotation-xml></semantics></math>z", "yz"),
+    ("a<math display=block><mtable><mtr><mtd>1</mtd><mtd>2</mtd></mtr><mtr><mtd/><mtd>3</mtd></mtr></mtable></math>b", "a\n1 2 3\nb"),
+    ("<svg>no<title>no</title><desc>no</desc><defs><text>no</text></defs><metadata>no</metadata><g><text x=1>A <tspan>1</tspan></text><text>B</text>no</g></svg>z", "A 1\nB\nz"),
+    ("<svg><title/><defs/><path d='M0'/><style>no{}</style><text hidden>no</text><text display='none'>no</text><text>C&amp;D</text></svg>z", "C&D\nz"),
+    ("<svg><text><![CDATA[p < q]]></text><foreignObject><p>html<table><td>c<td>d</table></foreignObject></svg>z", "p < q\n\nhtml\n\nc | d\n\nz"),
+    ("<svg hidden><text>no</text></svg><svg><g><p>out<b/>side", "outside"),
+    ("<svg/>a<desc>b</desc><metadata>c</metadata><text>d</text><i/>e", "abcde"),
+]
+
+
+@pytest.mark.parametrize("html, text", DRAWN)
+def test_formulas_and_drawings(html, text):
+    assert render(html) == text
+
+
+def test_drawings_below_any_depth():
+    assert render("<b>" * 3 * DEEPEST + "<svg><defs><text>no</text></defs>" + "<g>" * 3 * DEEPEST + "<text>A</text></svg><math><mi>x") == "A\nx"
+    for piece in ("<svg>", "<math>", "<svg><text>", "<svg><p>", "<math><mi>", "<svg><foreignobject>", "<svg/>", "<svg><![CDATA["):
+        render(piece * 20_000)
+
+
 @pytest.mark.parametrize("tag", ["font", "b", "span", "div"])
 def test_nothing_changes_below_any_depth(tag):
     """What is hidden stays hidden, and tables, lists and end tags work, below elements that nobody closes."""
