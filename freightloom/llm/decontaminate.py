@@ -3,8 +3,8 @@
 The items are indexed, not the texts. Every passage of every text is a query
 for all items whose BM25 score reaches a share of the score that the item
 gives itself, so one threshold suits short and long items. Passages overlap
-by half and are twice as long as the longest indexed piece, so each run of
-words of that length lies whole within one.
+by half and are twice as long as the longest piece may be, so each run of words
+of that length lies whole within one, whatever other items an index holds.
 
 A passage is first bounded for all items at once, by the block maxima of its
 terms summed in numpy; only passages in whose bound some block reaches the
@@ -66,11 +66,9 @@ class Index:
         self.items = {row: (words_of(text), parts_of(text)) for row, text in items}
         self.owner: list[int] = []
         postings: dict[str, list[tuple[int, float]]] = {}
-        longest = 1
         for row, (words, _) in self.items.items():
             for start in range(0, len(words), LONGEST_PIECE):
                 piece = words[start : start + LONGEST_PIECE]
-                longest = max(longest, len(piece))
                 norm = K1 * (1 - B + B * len(words) / mean_length)
                 impact = {}
                 for word, tf in Counter(piece).items():
@@ -80,7 +78,7 @@ class Index:
                 for word, value in impact.items():
                     postings.setdefault(word, []).append((len(self.owner), value / total))
                 self.owner.append(row)
-        self.stride = longest
+        self.stride = LONGEST_PIECE
         self.terms = {word: t for t, word in enumerate(sorted(postings))}
         self.ids = [[p for p, _ in postings[word]] for word in self.terms]
         self.impacts = [[v for _, v in postings[word]] for word in self.terms]

@@ -101,3 +101,21 @@ def test_item_without_its_last_sentence():
     at = len(ITEMS)
     assert at + 1 not in found
     assert all(found[i][0] >= dc.SIMILARITY and found[i][1:] == (found[i][1],) * 2 for i in (at, at + 2))
+
+
+def test_several_indexes_find_the_same_scattered_items(spark):
+    """Question, filler and answer: what a passage holds must not depend on the other items of its index."""
+    bench = spark.createDataFrame(list(enumerate(ITEMS)), "item_id long, text string")
+    whole, parts = list(dc.indexes(bench)), list(dc.indexes(bench, index_bytes=4000))
+    assert len(whole) == 1 < len(parts)
+
+    def found(indexes, text):
+        return sorted((ids[hit[0]], *(round(v, 9) for v in hit[1:])) for index, ids in indexes for hit in index.leaks(text))
+
+    hits = 0
+    for i in range(90):
+        words = dc.words_of(ITEMS[i])
+        text = " ".join(["x"] * (i % 7) + words[:22] + ["y"] * 90 + words[17:])
+        assert found(parts, text) == found(whole, text)
+        hits += any(hit[0] == i for hit in found(whole, text))
+    assert hits == 90
