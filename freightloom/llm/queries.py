@@ -219,3 +219,58 @@ def token_counts(spark: SparkSession, folder: str) -> DataFrame:
         for name, changes in batches.items():
             rollup.commit(name, changes)
     return rollup.totals()
+
+
+@query("op11_warc")
+def warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written as a WARC record to the shared folder, then read back from the archives."""
+    import uuid
+
+    from freightloom.llm.warc import read_archive, write_pages
+    from freightloom.session import shared_dir
+
+    path = f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    write_pages(table(spark, folder, "pages"), path)
+    return read_archive(spark, path, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+
+
+@query("op13_periodic_runs")
+def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of every whole text, after the planted repetitions of one document in ten."""
+    from freightloom.llm.periodic_runs import periodic_runs as runs_in
+    from freightloom.llm.periodic_runs import words_column
+
+    docs = table(spark, folder, "documents").select("doc_id", words_column(F.col("text")).alias("words"))
+    words = F.col("words")
+    n, h = F.size(words), F.crc32(F.col("doc_id").cast("string"))
+    g = F.expr("crc32(cast(doc_id as string)) div 10")
+    a = F.when(n > 0, g % n)
+    p = 1 + F.floor((n - a) / (3 + g % 8)).cast("long")
+    planted = F.when(
+        (h % 10 == 0) & (n > 0),
+        F.transform(words, lambda w, i: F.when(i >= a, F.get(words, a + (i - a) % p)).otherwise(w)),
+    ).otherwise(words)
+    found = runs_in(docs.select("doc_id", planted.alias("words")), "words")
+
+    def better(x, y):
+        gain = x["length"] * y["period"] - y["length"] * x["period"]
+        return (
+            F.when(gain > 0, -1)
+            .when(gain < 0, 1)
+            .when(x["start"] != y["start"], F.when(x["start"] < y["start"], -1).otherwise(1))
+            .when(x["period"] != y["period"], F.when(x["period"] < y["period"], -1).otherwise(1))
+            .otherwise(0)
+        )
+
+    best = F.get(F.array_sort("runs", better), 0)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        ((best["length"] * 1000 - best["length"] * 1000 % best["period"]) / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
