@@ -274,3 +274,58 @@ def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+def collocations_sql() -> str:
+    """The contract of op12 in DuckDB: phrases counted by position, exact products in 128 bits."""
+    return r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+pos AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces WHERE len(w) > 0),
+grams AS (SELECT lang, i, w, unnest(range(1, least(5, len(w) - i + 1) + 1)) AS m FROM pos),
+counts AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, m AS size, count(*) AS f
+  FROM grams GROUP BY ALL HAVING count(*) >= 100
+),
+cands AS (SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS ws FROM counts WHERE size >= 2),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, array_to_string(ws[1:k], ' ') AS lp, array_to_string(ws[k + 1:size], ' ') AS rp
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM cands) c
+),
+valued AS (
+  SELECT cuts.lang, cuts.phrase, cuts.a, cuts.k, l.f AS l, r.f AS r, t.n,
+         (cuts.a::HUGEINT * t.n * 1000) // (l.f::HUGEINT * r.f) AS score
+  FROM cuts JOIN counts l ON l.lang = cuts.lang AND l.phrase = cuts.lp
+            JOIN counts r ON r.lang = cuts.lang AND r.phrase = cuts.rp
+            JOIN totals t ON t.lang = cuts.lang
+),
+weakest AS (
+  SELECT lang, phrase, a, l, r, n, score FROM valued
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+),
+inner_parts AS (
+  SELECT lang, f AS g, array_to_string(string_split(phrase, ' ')[2:], ' ') AS phrase FROM counts WHERE size >= 3
+  UNION ALL
+  SELECT lang, f AS g, array_to_string(string_split(phrase, ' ')[1:size - 1], ' ') AS phrase FROM counts WHERE size >= 3
+),
+kept AS (
+  SELECT * FROM weakest x
+  WHERE NOT EXISTS (SELECT 1 FROM inner_parts p WHERE p.lang = x.lang AND p.phrase = x.phrase AND p.g >= x.a)
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase ASC) AS rank FROM kept)
+WHERE rank <= 2000
+"""
+
+
+@query("op12_collocations", collocations_sql())
+def collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 2,000 collocations of each language over all documents."""
+    from freightloom.llm.collocations import collocations as mined
+
+    return mined(table(spark, folder, "documents"))
