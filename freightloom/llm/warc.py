@@ -13,6 +13,13 @@ on it, and the block of a record that fails them, or whose payload no column
 asks for, is skipped by seeking past it, never read or decoded. Only the
 columns of the schema the reader is given are produced.
 
+Files are ``.warc.gz``: each record is a gzip member of its own, as is
+usual, and its gzip header carries the member's length in an extra field
+(``WL``), which other gzip readers pass over. The reader inflates the first
+bytes of a member up to the end of the WARC header and skips the rest of a
+member it does not need by that length. Uncompressed ``.warc`` files are read
+too.
+
 Records (WARC/1.1): a ``response`` holds the HTTP response with the payload;
 a ``revisit`` (profile identical-payload-digest) holds the HTTP header only,
 with ``Content-Length`` of the payload, and refers to the response's record
@@ -29,7 +36,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import io
+import struct
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -129,10 +139,10 @@ class WarcWriter(DataSourceArrowWriter):
                     if out is None or size >= self.roll:
                         if out is not None:
                             out.close()
-                        name = f"{attempt}/part-{uuid.uuid4().hex}.warc"
-                        out, size = fs.open_output_stream(name), 0
+                        name = f"{attempt}/part-{uuid.uuid4().hex}.warc.gz"
+                        out, size = fs.open_output_stream(name, compression=None), 0
                         files.append(name)
-                    data = record(page_id, uri, kind, refers, payload or b"", sha1, bytes_)
+                    data = member(record(page_id, uri, kind, refers, payload or b"", sha1, bytes_))
                     out.write(data)
                     size += len(data)
         finally:
@@ -144,7 +154,7 @@ class WarcWriter(DataSourceArrowWriter):
         fs, root = filesystem(self.path)
         if self.overwrite:
             for info in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True)):
-                if info.base_name.endswith(".warc"):
+                if info.base_name.endswith((".warc", ".warc.gz")):
                     fs.delete_file(info.path)
         for message in messages:
             for name in message.files if message is not None else []:
@@ -173,7 +183,7 @@ class WarcReader(DataSourceReader):
     def partitions(self):
         fs, root = filesystem(self.path)
         infos = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
-        names = sorted(i.path for i in infos if i.type == pafs.FileType.File and i.base_name.endswith(".warc"))
+        names = sorted(i.path for i in infos if i.type == pafs.FileType.File and i.base_name.endswith((".warc", ".warc.gz")))
         scheme = self.path.split("://", 1)[0] + "://" if "://" in self.path else ""
         files = [WarcFile(scheme + n if scheme and not n.startswith(scheme) else n) for n in names]
         return files or [WarcFile(None)]
@@ -198,26 +208,19 @@ class WarcReader(DataSourceReader):
         types = pa.schema([pa.field(f.name, _arrow(f.dataType.simpleString())) for f in self.schema.fields])
         fs, name = filesystem(partition.name)
         columns: dict[str, list] = {n: [] for n in names}
+
+        def header_values(head: dict) -> dict:
+            page = head.get("warc-page-id")
+            return {"record_type": head.get("warc-type"), "page_id": int(page) if page else None, "target_uri": head.get("warc-target-uri")}
+
+        def decide(head: dict) -> tuple[bool, bool]:
+            return self._passes(header_values(head)), needs_block
+
         with fs.open_input_file(name) as raw:
-            stream = Buffered(raw)
-            while True:
-                offset = stream.tell()
-                head = _head(stream)
-                if head is None:
-                    break
-                length = int(head.get("content-length", "0"))
-                kind = head.get("warc-type")
-                page = head.get("warc-page-id")
-                values = {"record_type": kind, "page_id": int(page) if page else None, "target_uri": head.get("warc-target-uri")}
-                if not self._passes(values):
-                    stream.skip(length + 4)
-                    continue
-                if needs_block:
-                    block = stream.read(length)
-                    stream.skip(4)
-                else:
-                    block = None
-                    stream.skip(length + 4)
+            records = gzip_records if name.endswith(".gz") else plain_records
+            for offset, head, block in records(Buffered(raw), decide):
+                values = header_values(head)
+                kind = values["record_type"]
                 digest = (head.get("warc-payload-digest") or "").removeprefix("sha1:")
                 payload, size = None, None
                 if block is not None:
@@ -248,6 +251,78 @@ class WarcReader(DataSourceReader):
             yield pa.RecordBatch.from_pydict(columns, schema=types)
 
 
+def plain_records(stream: "Buffered", decide):
+    """``(offset, header, block or None)`` of the records of an uncompressed file that ``decide`` keeps."""
+    while True:
+        offset = stream.tell()
+        head = _head(stream)
+        if head is None:
+            return
+        length = int(head.get("content-length", "0"))
+        keep, block = decide(head)
+        if keep and block:
+            yield offset, head, stream.read(length)
+            stream.skip(4)
+        else:
+            stream.skip(length + 4)
+            if keep:
+                yield offset, head, None
+
+
+#: Subfield of the gzip header that holds the length of its member, so that a member can be skipped unread.
+LENGTH_FIELD = b"WL"
+
+
+def member(data: bytes) -> bytes:
+    """One gzip member of a record, its whole length in an extra field of the header."""
+    packer = zlib.compressobj(6, zlib.DEFLATED, -15)
+    body = packer.compress(data) + packer.flush()
+    extra = LENGTH_FIELD + struct.pack("<H", 8)
+    total = 12 + len(extra) + 8 + len(body) + 8
+    head = b"\x1f\x8b\x08\x04\x00\x00\x00\x00\x00\xff" + struct.pack("<H", len(extra) + 8) + extra + struct.pack("<Q", total)
+    return head + body + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
+
+
+def gzip_records(stream: "Buffered", decide):
+    """Records of a file of gzip members: the header is inflated first, a record not kept is skipped by its length."""
+    while True:
+        offset = stream.tell()
+        fixed = stream.read(12)
+        if len(fixed) < 12:
+            return
+        if fixed[:3] != b"\x1f\x8b\x08" or not fixed[3] & 4:
+            raise ValueError(f"not a record member at {offset}")
+        extra = stream.read(struct.unpack("<H", fixed[10:12])[0])
+        total, at = None, 0
+        while at + 4 <= len(extra):
+            size = struct.unpack("<H", extra[at + 2 : at + 4])[0]
+            if extra[at : at + 2] == LENGTH_FIELD:
+                total = struct.unpack("<Q", extra[at + 4 : at + 12])[0]
+            at += 4 + size
+        if total is None:
+            raise ValueError(f"member at {offset} does not give its length")
+        left = total - 12 - len(extra) - 8
+        inflater, out = zlib.decompressobj(-15), b""
+        while b"\r\n\r\n" not in out and left > 0:
+            chunk = stream.read(min(left, 4096))
+            left -= len(chunk)
+            out += inflater.decompress(chunk)
+        head = _head(Buffered(io.BytesIO(out)))
+        keep, block = decide(head)
+        if not keep or not block:
+            stream.skip(left + 8)
+            if keep:
+                yield offset, head, None
+            continue
+        out += inflater.decompress(stream.read(left)) + inflater.flush()
+        crc, size = struct.unpack("<II", stream.read(8))
+        if zlib.crc32(out) != crc or len(out) & 0xFFFFFFFF != size:
+            raise ValueError(f"member at {offset} is damaged")
+        data = out[out.index(b"\r\n\r\n") + 4 :]
+        length = int(head.get("content-length", "0"))
+        yield offset, head, data[:length]
+
+
 class FilteringWarcReader(WarcReader):
     """The reader with filters on header fields pushed down (when the session allows it)."""
 

@@ -137,3 +137,15 @@ def test_warc_pushdown_and_empty(spark, tmp_path):
     assert sorted(r.page_id for r in revisits.where("page_id IN (1, 3)").collect()) == [1, 3]
     write_pages(pages.limit(0), str(tmp_path / "b"))
     assert read_archive(spark, str(tmp_path / "b")).count() == 0
+
+
+def test_archives_are_plain_gzip(spark, tmp_path):
+    import glob
+    import gzip
+
+    from freightloom.llm.warc import write_pages
+
+    pages = spark.createDataFrame([(i, f"http://h/{i}", "p" * (i % 3)) for i in range(50)], "page_id long, url string, html string")
+    write_pages(pages, str(tmp_path / "g"))
+    data = b"".join(gzip.decompress(open(f, "rb").read()) for f in glob.glob(str(tmp_path / "g" / "*.warc.gz")))
+    assert data.count(b"WARC/1.1\r\n") == 50 and data.count(b"WARC-Type: revisit") == 47
