@@ -11,21 +11,18 @@ occurrences is dropped: the longer one says the same.
 
 How it runs, and how it departs from a best-first growth:
 
-* Phrases are grown from their first word. A phrase can only have ``least``
-  occurrences if its first word has, so positions whose first word is rarer
-  are not expanded where the frequent words are few enough to broadcast
-  (their number is counted first, see :data:`BROADCAST_WORDS`).
+* Phrases grow a word a level, each level from the frequent phrases of the
+  level below (a phrase is formed at a position only where its first and its
+  last ``m - 1`` words are frequent), counted over all positions and
+  combined before the shuffle. See :func:`phrase_counts`.
 * The admissible bound of every phrase grown from a prefix ``P`` is
-  ``1000 * n / f(P)`` (cut after ``P``, ``r >= a``), and it is tightest for
-  the first word. Growing phrases best-first by that bound would settle the
-  2,000th score after the phrases of the rarest first words, but scoring and
-  dropping need the counts of the later parts and of the neighbours of each
-  candidate, which start with other, often frequent words; a best-first
-  growth would count them again for every band. Here all phrases of 2 to
-  ``longest`` words with a frequent first word are counted in one
-  aggregation (combined before the shuffle), and the bound is used where it
-  is exact: the first ``top`` of each language are kept by a window whose
-  limit Spark applies in each task before the shuffle.
+  ``1000 * n / f(P)`` (cut after ``P``, ``r >= a``), tightest for the first
+  word. A best-first growth by that bound would stop once the 2,000th score
+  is settled, but scoring and dropping need the counts of the later parts
+  and of the neighbours of each candidate, which start with other words; so
+  all frequent phrases are grown level by level instead, and the first
+  ``top`` of each language are kept by a window whose limit Spark applies in
+  each task before the shuffle.
 * Arithmetic is exact: products are 38-digit decimals, the quotient is an
   integral division.
 
@@ -67,45 +64,60 @@ def _phrase(words: Column, start: Column, length: Column) -> Column:
     return F.array_join(F.slice(words, start + 1, length), " ")
 
 
-#: Frequent words up to which their set is broadcast to prune positions before the shuffle.
-BROADCAST_WORDS = 1_000_000
+#: Frequent phrases of a level up to which their set is broadcast to prune positions before the shuffle.
+BROADCAST_PHRASES = 1_000_000
+
+
+def _known(rows: DataFrame, frequent: DataFrame, column: str, small: bool) -> DataFrame:
+    """Rows whose ``column`` is a frequent phrase of the level below."""
+    right = frequent.select("lang", F.col("phrase").alias(column))
+    return rows.join(F.broadcast(right) if small else right, ["lang", column], "left_semi")
 
 
 def phrase_counts(parts: DataFrame, least: int = LEAST_COUNT, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
     """Word totals per language, and every phrase of 1 to ``longest`` words with at least ``least`` occurrences.
 
     The first table has ``lang, n``; the second ``lang, phrase, size, f``.
-    Each position carries the next ``longest`` words only. Where the
-    frequent words are at most ``BROADCAST_WORDS`` (counted first), their
-    set is broadcast and positions with a rarer first word are dropped
-    before phrases are formed; beyond that size all positions form phrases,
-    and the count filter alone keeps the frequent ones. Both give the same
-    counts, as a phrase is never more frequent than its first word.
+    Phrases grow a word a level: a phrase of ``m`` words is formed at a
+    position only where its first and its last ``m - 1`` words are frequent
+    phrases of the level below, since a phrase is never more frequent than
+    its parts. Each level is counted (combined before the shuffle) and
+    written to the shared folder. The texts are read three times: for the
+    words (whose counts also give the totals), for the pairs, and to write
+    out the positions that start with a frequent pair, from which the longer
+    phrases grow. Where a level has at most ``BROADCAST_PHRASES`` frequent
+    phrases (counted), their set is broadcast and positions are pruned in
+    the scan's tasks; beyond that both sides are shuffled by the phrase. Both
+    give the same counts.
     """
-    totals = parts.groupBy("lang").agg(F.sum(F.size("words")).cast("long").alias("n"))
     at = parts.select("lang", F.posexplode("words").alias("i", "word"), "words").select(
-        "lang", "word", F.slice("words", F.col("i") + 1, longest).alias("next")
-    )
-    words = at.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("f")).where(F.col("f") >= least)
-    words = staged(words, "frequent-words")
-    if words.count() <= BROADCAST_WORDS:
-        at = at.join(F.broadcast(words.select("lang", "word")), ["lang", "word"], "left_semi")
-    longer = at.where(F.size("next") >= 2).select(
-        "lang",
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(2), F.size("next")),
-                lambda m: F.struct(m.cast("int").alias("size"), _phrase(F.col("next"), F.lit(0), m).alias("phrase")),
-            )
-        ).alias("p"),
-    )
-    counted = (
-        longer.groupBy("lang", F.col("p.phrase").alias("phrase"), F.col("p.size").alias("size"))
-        .agg(F.count(F.lit(1)).alias("f"))
-        .where(F.col("f") >= least)
+        "lang", F.slice("words", F.col("i") + 1, longest).alias("next")
     )
-    single = words.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), "f")
-    return totals, single.unionByName(counted)
+    every = staged(at.groupBy("lang", F.col("next")[0].alias("phrase")).agg(F.count(F.lit(1)).alias("f")), "words")
+    totals = every.groupBy("lang").agg(F.sum("f").cast("long").alias("n"))
+    level = staged(every.where(F.col("f") >= least).withColumn("size", F.lit(1)), "phrases-1")
+    levels = [level]
+    for m in range(2, longest + 1):
+        small = level.count() <= BROADCAST_PHRASES
+        if small and level.isEmpty():
+            break
+        if m == 3:  # longer phrases start with a frequent pair: keep those positions only
+            pairs = at.where(F.size("next") >= 3).select("lang", "next", _phrase(F.col("next"), F.lit(0), F.lit(2)).alias("head"))
+            at = staged(_known(pairs, level, "head", small).select("lang", "next"), "pair-positions")
+        grams = at.where(F.size("next") >= m).select(
+            "lang",
+            _phrase(F.col("next"), F.lit(0), F.lit(m - 1)).alias("head"),
+            _phrase(F.col("next"), F.lit(1), F.lit(m - 1)).alias("tail"),
+            _phrase(F.col("next"), F.lit(0), F.lit(m)).alias("phrase"),
+        )
+        grams = _known(_known(grams, level, "head", small), level, "tail", small)
+        counted = grams.groupBy("lang", "phrase").agg(F.count(F.lit(1)).alias("f")).where(F.col("f") >= least)
+        level = staged(counted.withColumn("size", F.lit(m)), f"phrases-{m}")
+        levels.append(level)
+    counts = levels[0]
+    for more in levels[1:]:
+        counts = counts.unionByName(more)
+    return totals, counts.select("lang", "phrase", F.col("size").cast("int").alias("size"), "f")
 
 
 def scored(totals: DataFrame, counts: DataFrame, longest: int = LONGEST) -> DataFrame:
