@@ -33,11 +33,12 @@ def land_and_ingest(d: Driver, on_bad: str) -> tuple[DataFrame, list[int]]:
     spark = d.spark
     base = f"{shared_dir(spark).rstrip('/')}/ingest-{uuid.uuid4().hex}"
     landing, staged, checkpoint = f"{base}/landing", f"{base}/staged", f"{base}/checkpoint"
-    raw = {s: d.stage(f"raw-{s}", lambda s=s: d[f"raw_{s}"]) for s in SYSTEMS}
+    portion_of = F.pmod(F.xxhash64(F.to_json(F.struct("*"))), F.lit(PORTIONS)).alias("portion")
+    raw = {s: d.stage(f"raw-{s}", lambda s=s: d[f"raw_{s}"].select("*", portion_of)) for s in SYSTEMS}
     read = []
     for portion in range(PORTIONS):
         for system, events in raw.items():
-            part = events.where(F.pmod(F.xxhash64(F.to_json(F.struct("*"))), F.lit(PORTIONS)) == portion)
+            part = events.where(F.col("portion") == portion).drop("portion")
             part.write.json(f"{landing}/{system}/portion-{portion}")
             _put(spark, f"{landing}/{system}/broken-{portion}/events.json", "\n".join(BROKEN) + "\n")
         read.append(ingest(spark, landing, staged, checkpoint, on_bad))

@@ -7,8 +7,11 @@ reads nothing. The parquet sink keeps a log of its own, so a run that is
 stopped half way and started again writes each file's events once; readers
 of the staged folder see committed files only.
 
-Staged rows are partitioned by ``system``, ``event_type`` and ``event_day``,
-so that a loader reading one type of some days opens those folders only.
+Staged rows are partitioned by ``system``, ``event_type`` and ``event_month``
+(the first day of the month), so that a loader reading one type of some months
+opens those folders only; ``event_day`` is a column. The rows of a run are
+dealt by folder before they are written, and the many rows of a large folder to
+several tasks: the number of files does not grow with the number of tasks.
 Unreadable lines stay rows with their text in ``_corrupt_record`` and no
 type (``on_bad="quarantine"``), or are dropped (``"drop"``).
 """
@@ -24,7 +27,7 @@ from freightloom.sources.events import CORRUPT, EVENT_SCHEMA
 
 #: Layout of the landing folder: one folder per system, any folders below it.
 LANDING_GLOB = "*/*"
-PARTITIONS = ["system", "event_type", "event_day"]
+PARTITIONS = ["system", "event_type", "event_month"]
 
 
 def landed_events(spark: SparkSession, landing: str, on_bad: str = "quarantine", multi_line: bool = False) -> DataFrame:
@@ -40,17 +43,19 @@ def landed_events(spark: SparkSession, landing: str, on_bad: str = "quarantine",
     events = reader.json(f"{landing.rstrip('/')}/{LANDING_GLOB}")
     path = F.col("_metadata.file_path")
     system = F.element_at(F.split(path, "/"), -3)
+    day = F.to_date(parse_moment("timestamp"))
     return events.select(
         "*",
         system.alias("system"),
         path.alias("source_file"),
-        F.to_date(parse_moment("timestamp")).alias("event_day"),
+        day.alias("event_day"),
+        F.trunc(day, "month").alias("event_month"),
     )
 
 
 def ingest(spark: SparkSession, landing: str, staged: str, checkpoint: str, on_bad: str = "quarantine") -> int:
     """Stage what arrived since the last run with this checkpoint; the number of rows read in this run."""
-    events = landed_events(spark, landing, on_bad)
+    events = landed_events(spark, landing, on_bad).hint("rebalance", *PARTITIONS)
     query = (
         events.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)

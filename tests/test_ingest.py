@@ -38,3 +38,17 @@ def test_dropping_bad_lines(spark, tmp_path):
     _drop(landing / "wms" / "p0", "a.json", [json.dumps({"event_type": "WarehouseSKUCreated", "sku": "S1", "timestamp": "2024-01-01T00:00:00"}), "{oops"])
     assert ingest(spark, str(landing), str(tmp_path / "s"), str(tmp_path / "c"), on_bad="drop") == 1
     assert staged_events(spark, str(tmp_path / "s")).count() == 1
+
+
+def test_a_folder_gets_few_files(spark, tmp_path):
+    """Twenty files with the same sixty days of one type make a file for each month, whatever the number of tasks."""
+    landing, staged = tmp_path / "landing", tmp_path / "staged"
+    days = [f"2024-0{m}-{d:02d}" for m in (1, 2, 3) for d in range(1, 21)]
+    for k in range(20):
+        lines = [json.dumps({"event_type": "CarrierCreated", "carrier_id": f"C{k}-{day}", "timestamp": f"{day}T00:00:00"}) for day in days]
+        _drop(landing / "tms" / f"p{k}", "carriers.json", lines)
+    assert ingest(spark, str(landing), str(staged), str(tmp_path / "c")) == 1200
+    assert len(list(staged.rglob("part-*.parquet"))) == 3
+    events = staged_events(spark, str(staged))
+    assert events.select("carrier_id").distinct().count() == 1200
+    assert events.where("event_day = '2024-02-11'").count() == 20
