@@ -298,8 +298,9 @@ def shortest_path(
     """Path with the fewest hops: stations, modes, total weight, hops.
 
     Breadth-first search; each level is one join with the edges and holds
-    the nodes reached for the first time with one parent each. Levels are
-    checkpointed, so a lost executor costs one level. No row when there is
+    the nodes reached for the first time with one parent each. The edges are
+    checkpointed once, so no level derives them again, and so are the levels:
+    a lost executor costs one level. No row when there is
     no path, or none of at most ``max_hops`` hops where that is given.
     """
     spark = edges.sparkSession
@@ -309,7 +310,7 @@ def shortest_path(
         F.col("dst").alias("id"),
         F.col("properties")[mode].alias("mode"),
         F.col("properties")[weight].cast("double").alias("weight"),
-    )
+    ).checkpoint()
     start = constant(spark, [(src,)], "id string")
     visited = start
     frontier = start
