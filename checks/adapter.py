@@ -142,15 +142,11 @@ class Driver:
         return self.base("lineitem")
 
     def _l1(self) -> DataFrame:
-        """One row per order and line number.
-
-        ``hop`` repeats the line number as a window result: a filter on it
-        stays above the window, so all relations made from the lines share
-        one shuffle of them.
-        """
+        """One row per order and line number, staged: every relation made from the lines reads it, none sorts them again."""
         window = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*_L1_ORDER)
-        hop = F.first("l_linenumber").over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return self["lines"].withColumns({"_rn": F.row_number().over(window), "hop": hop}).filter("_rn = 1").drop("_rn")
+        first = self["lines"].withColumn("_rn", F.row_number().over(window)).filter("_rn = 1")
+        kept = ["l_orderkey", "l_linenumber", *[c for c in _L1_ORDER if c != "l_extendedprice"]]
+        return self.stage("lines", lambda: first.select(*kept)).withColumn("hop", F.col("l_linenumber"))
 
     def _last_hops(self) -> DataFrame:
         """The lines of the last hop; the filter on the line number reaches the scan."""
@@ -208,14 +204,13 @@ class Driver:
     def _batches(self) -> DataFrame:
         return (
             self["l1"]
+            .filter("l_orderkey % 307 <> 0")
             .groupBy("l_orderkey")
             .agg(
                 F.min("l_partkey").alias("p"),
                 F.sum(F.col("l_quantity").cast("int")).cast("int").alias("quantity"),
                 F.min("l_shipdate").alias("harvested_at"),
-                F.max("l_orderkey").alias("kept"),  # a filter on the key would split the shared shuffle
             )
-            .filter("kept % 307 <> 0")
             .selectExpr(
                 "l_orderkey AS batch_id", "concat('BATCH-', l_orderkey) AS batch_identifier", "p AS product_id",
                 "'Ghana' AS origin_country", "quantity", "'BANANA_PLANTATION' AS supply_chain_node",
