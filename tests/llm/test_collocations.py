@@ -31,3 +31,42 @@ def test_collocations_of_nothing(spark):
 
     empty = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert collocations(empty).count() == 0
+
+
+def some_texts(spark):
+    texts = ["a b c d e f. a b c d e", "A b, c  d\te f", "b c d; b c d", None, "x.y!z", "é è é è é"]
+    return [(t, lang) for t in texts for lang in ("l", "m", None) for _ in range(2 if lang else 1)]
+
+
+def test_texts_are_read_twice(spark):
+    from pyspark.sql import functions as F
+
+    from freightloom.llm.collocations import phrase_counts
+
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    rows = some_texts(spark)
+    docs = spark.createDataFrame(rows, "text string, lang string").select(F.udf(seen).asNondeterministic()("text").alias("text"), "lang")
+    phrase_counts(docs, least=2)[1].count()
+    assert read.value == 2 * len(rows)
+
+
+def test_numbered_and_spelled_phrases_count_the_same(spark, monkeypatch):
+    from freightloom.llm import collocations as c
+
+    docs = spark.createDataFrame(some_texts(spark), "text string, lang string")
+    monkeypatch.setattr(c, "WORDS_HELD", 3)
+    monkeypatch.setattr(c, "CODES_HELD", 3)
+    results = []
+    for words, phrases in ((100, 100), (0, 100), (100, 0), (100, 12)):
+        monkeypatch.setattr(c, "MOST_WORDS", words)
+        monkeypatch.setattr(c, "MOST_PHRASES", phrases)
+        totals, counts = c.phrase_counts(docs, least=4)
+        results.append((sorted(map(tuple, totals.collect())), sorted(map(tuple, counts.collect()))))
+    assert results[0] == results[1] == results[2] == results[3]
+    assert ("l", 62) in results[0][0] and ("l", "b c d", 3, 8) in results[0][1] and ("und", "b c d", 3, 4) in results[0][1]
+    assert ("m", "a b c d e", 5, 4) in results[0][1]
