@@ -7,8 +7,9 @@ by half and are twice as long as the longest piece may be, so each run of words
 of that length lies whole within one, whatever other items an index holds.
 
 A passage is first bounded for all items at once, by the block maxima of its
-terms summed in numpy; only passages in whose bound some block reaches the
-threshold are searched, by block-max WAND with exact scores. What is retrieved
+terms summed in numpy, first over few wide blocks of items, then over narrow
+ones; only passages in whose bounds some block reaches the threshold both times
+are searched, by block-max WAND with exact scores. What is retrieved
 is then verified: shared shingles of five words, and, of items that have a
 question and an answer, the words of each that such shingles cover.
 """
@@ -85,10 +86,15 @@ class Index:
         self.most = [max(values) for values in self.impacts]
         self.block_last = [ids[BLOCK - 1 :: BLOCK] + ([ids[-1]] if len(ids) % BLOCK else []) for ids in self.ids]
         self.block_most = [[max(values[i : i + BLOCK]) for i in range(0, len(values), BLOCK)] for values in self.impacts]
-        groups = max(1, min(len(self.owner), BOUND_BYTES // (4 * (len(self.terms) + 1)), 64))
-        self.bounds = np.zeros((len(self.terms), groups), dtype=np.float32)
+        self.bounds, self.finer = self.block_bounds(64), self.block_bounds(len(self.owner))
+
+    def block_bounds(self, most: int) -> np.ndarray:
+        """Highest impact of each term in each of up to ``most`` blocks of pieces, as far as the bytes go."""
+        groups = max(1, min(len(self.owner), BOUND_BYTES // (4 * (len(self.terms) + 1)), most))
+        bounds = np.zeros((len(self.terms), groups), dtype=np.float32)
         for t, (ids, values) in enumerate(zip(self.ids, self.impacts)):
-            np.maximum.at(self.bounds[t], np.array(ids) * groups // len(self.owner), np.array(values, dtype=np.float32))
+            np.maximum.at(bounds[t], np.array(ids) * groups // len(self.owner), np.array(values, dtype=np.float32))
+        return bounds
 
     def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
         """All pieces whose score reaches the threshold, by block-max WAND: ``(piece, score)``."""
@@ -153,7 +159,9 @@ class Index:
         reach = np.add.reduceat(self.bounds[terms], starts, axis=0).max(axis=1) >= self.threshold - 1e-4
         ends = np.append(starts[1:], len(terms))
         for i in np.flatnonzero(reach):
-            yield terms[starts[i] : ends[i]].tolist()
+            found = terms[starts[i] : ends[i]]
+            if self.finer[found].sum(axis=0).max() >= self.threshold - 1e-4:
+                yield found.tolist()
 
     threshold = THRESHOLD
 

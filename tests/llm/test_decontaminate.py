@@ -119,3 +119,18 @@ def test_several_indexes_find_the_same_scattered_items(spark):
         assert found(parts, text) == found(whole, text)
         hits += any(hit[0] == i for hit in found(whole, text))
     assert hits == 90
+
+
+def test_no_passage_is_searched_in_vain():
+    """Where the bounds have a block for each piece, only passages that hold something are searched."""
+    index = index_of(ITEMS)
+    assert index.finer.shape[1] == len(index.owner) > 64
+    dice = random.Random(5)
+    searched = 0
+    for _ in range(300):
+        at = dice.randrange(len(ITEMS) - 2)
+        near = [w for t in ITEMS[at : at + 2] for w in dc.words_of(t)]
+        for terms in index.passages(dice.sample(near, dice.randrange(len(near)))):
+            searched += 1
+            assert index.search(terms, index.threshold - 1e-3)
+    assert searched > 20
