@@ -57,3 +57,25 @@ def test_round_trip_over_rows(spark, library):
     decoded = {r["id"]: bytes(r["bytes"]).decode() for r in bpe.decode(encoded, PATH).collect()}
     assert decoded == by_id
     assert bpe.round_trip(docs.limit(0), PATH, PATTERN).count() == 0
+
+
+def test_only_pairs_before_their_neighbours_wait(ranks, library):
+    """Each change of the bitmap is one word set."""
+
+    class Counted(list):
+        changes = 0
+
+        def __setitem__(self, at, value):
+            self.changes += 1
+            super().__setitem__(at, value)
+
+    encoder = bpe.Encoder(ranks, PATTERN)
+    dice = random.Random(4)
+    merges = pairs = 0
+    encoder.low = Counted(encoder.low)
+    for _ in range(200):
+        piece = "".join(dice.choices("abdefghilmnorstu", k=12))
+        found = encoder.merge(piece.encode())
+        assert found == library.encode_ordinary(piece)
+        merges, pairs = merges + len(piece) - len(found), pairs + len(piece) - 1
+    assert not any(encoder.low) and encoder.low.changes < 2.5 * merges < 2 * pairs
