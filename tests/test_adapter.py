@@ -41,3 +41,14 @@ def test_edges_of_a_search_are_derived_once(spark):
     )
     assert graph.shortest_path(edges, "n0", "n6", "L", "w", "m").first().hops == 6
     assert derived.value <= 12  # a checkpoint may derive its rows twice
+
+
+def test_tasks_sort_in_memory(spark):
+    """A session that somebody else built gets splits and partitions of bounded size; Spark's own defaults made tasks of gigabytes."""
+    from freightloom.session import configure
+
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    sizes = configure(spark)._jsparkSession.sessionState().conf()
+    assert sizes.filesMaxPartitionBytes() <= 32 << 20
+    assert int(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes").rstrip("m")) <= 16
