@@ -47,6 +47,7 @@ class Driver:
         self.spark = configure(spark)
         self.folder = folder.rstrip("/")
         self._built: dict[str, DataFrame] = {}
+        self._staged: list[str] = []
 
     def base(self, name: str) -> DataFrame:
         key = f"base {name}"
@@ -66,9 +67,17 @@ class Driver:
             path = f"{shared_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
             df = build()
             df.write.parquet(path)
+            self._staged.append(path)
             self._built[key] = self.spark.read.schema(df.schema).parquet(path)
         return self._built[key]
 
+    def unstage(self) -> None:
+        """Deletes the staged tables, once nothing reads them any more; what was built from them is built anew if asked for."""
+        self._built.clear()
+        while self._staged:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self._staged.pop())
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     @property
     def tables(self) -> "Driver":
         """The relations by name, each built when first asked for."""
@@ -318,6 +327,16 @@ class Driver:
         )
 
     def _raw_erp(self) -> DataFrame:
+        return _all(self.erp_parts())
+
+    def _raw_wms(self) -> DataFrame:
+        return _all(self.wms_parts())
+
+    def _raw_tms(self) -> DataFrame:
+        return _all(self.tms_parts())
+
+    def erp_parts(self) -> list[DataFrame]:
+        """The raw events of the system, a relation for each source of an event type."""
         first = "event_timestamp"
         later = "event_timestamp + INTERVAL '1' DAY"
         suppliers, customers, products = self["suppliers"], self["customers"], self["products"]
@@ -327,7 +346,7 @@ class Driver:
             "THEN concat('BAN-', product_id, ' ') ELSE product_code END"
         )
         supplier_key = "CASE WHEN supplier_id IS NULL THEN 'SUP-NONE' ELSE concat('SUP-', supplier_id) END"
-        parts = [
+        return [
             self.raw("SupplierCreated", suppliers, first, supplier_code="supplier_code", supplier_name="supplier_name", country="country"),
             self.raw("SupplierCreated", suppliers.filter("supplier_id % 10 = 0"), later, supplier_code="supplier_code", supplier_name="'renamed'", country="country"),
             self.raw("CustomerCreated", customers.filter("customer_id % 50 <> 0"), first, customer_number="customer_number", customer_name="customer_name", city="city", country="country"),
@@ -344,55 +363,50 @@ class Driver:
                 supply_chain_node="supply_chain_node", wms_sku="wms_sku",
             ),
         ]
-        return _all(parts)
 
-    def _raw_wms(self) -> DataFrame:
+    def wms_parts(self) -> list[DataFrame]:
         processed = self["processing_events"]
-        return _all(
-            [
-                self.raw("WarehouseSKUCreated", self["warehouse_skus"], "event_timestamp", sku="sku", erp_product_code="lower(erp_product_code)"),
-                self.raw(
-                    "NodeProcessed", processed, "event_timestamp", batch_reference="batch_reference", sku="sku", status="status",
-                    supply_chain_node="CASE WHEN supply_chain_node = 'COLLECTION_CENTER' THEN 'COLLECTION_POINT' ELSE supply_chain_node END",
-                    temperature="CAST(temperature AS STRING)",
-                ),
-            ]
-        )
+        return [
+            self.raw("WarehouseSKUCreated", self["warehouse_skus"], "event_timestamp", sku="sku", erp_product_code="lower(erp_product_code)"),
+            self.raw(
+                "NodeProcessed", processed, "event_timestamp", batch_reference="batch_reference", sku="sku", status="status",
+                supply_chain_node="CASE WHEN supply_chain_node = 'COLLECTION_CENTER' THEN 'COLLECTION_POINT' ELSE supply_chain_node END",
+                temperature="CAST(temperature AS STRING)",
+            ),
+        ]
 
-    def _raw_tms(self) -> DataFrame:
+    def tms_parts(self) -> list[DataFrame]:
         ships = self["shipments"]
         codes = ships.select("shipment_id", "shipment_identifier")
         on = "shipment_id"
         carrier = "named_struct('carrier_id', CASE WHEN carrier_id IS NULL THEN 'CAR-999' ELSE concat('CAR-', carrier_id) END, 'carrier_name', 'any')"
-        return _all(
-            [
-                self.raw("CarrierCreated", self["carriers"], "event_timestamp", carrier_id="carrier_code", carrier_name="carrier_name"),
-                self.raw(
-                    "TransportProductReferenceCreated", self["transport_product_references"], "event_timestamp",
-                    erp_product_code="transport_product_reference", transport_product_reference="transport_product_reference",
-                ),
-                self.raw(
-                    "TransportStarted", ships.filter("shipment_id % 40 <> 1"), "started_at", shipment_identifier="shipment_identifier",
-                    source_node="source_node", target_node="target_node", transport_mode="transport_mode",
-                    cargo_product_reference="cargo_product_reference", carrier=carrier,
-                    estimated_arrival="date_format(estimated_arrival, \"yyyy-MM-dd'T'HH:mm:ss\")",
-                ),
-                self.raw(
-                    "ShipmentPositionUpdated", self["shipment_positions"].join(codes, on, "left"), "recorded_at",
-                    shipment_identifier="coalesce(shipment_identifier, 'SHIP-LOST')",
-                    coordinates="struct(CAST(latitude AS STRING) AS latitude, CAST(longitude AS STRING) AS longitude)",
-                    container_temperature="CAST(container_temperature AS STRING)", speed_kmh="CAST(speed_kmh AS STRING)",
-                ),
-                self.raw(
-                    "TransportCompleted", self["transport_completions"].join(codes, on), "completed_at",
-                    shipment_identifier="shipment_identifier", arrival_node="arrival_node", delay_minutes="CAST(delay_minutes AS STRING)",
-                ),
-                self.raw(
-                    "DeliveryCompleted", self["deliveries"].join(codes, on), "delivered_at", shipment_identifier="shipment_identifier",
-                    delivery_status="delivery_status", received_by="received_by", cargo_product_reference="cargo_product_reference",
-                ),
-            ]
-        )
+        return [
+            self.raw("CarrierCreated", self["carriers"], "event_timestamp", carrier_id="carrier_code", carrier_name="carrier_name"),
+            self.raw(
+                "TransportProductReferenceCreated", self["transport_product_references"], "event_timestamp",
+                erp_product_code="transport_product_reference", transport_product_reference="transport_product_reference",
+            ),
+            self.raw(
+                "TransportStarted", ships.filter("shipment_id % 40 <> 1"), "started_at", shipment_identifier="shipment_identifier",
+                source_node="source_node", target_node="target_node", transport_mode="transport_mode",
+                cargo_product_reference="cargo_product_reference", carrier=carrier,
+                estimated_arrival="date_format(estimated_arrival, \"yyyy-MM-dd'T'HH:mm:ss\")",
+            ),
+            self.raw(
+                "ShipmentPositionUpdated", self["shipment_positions"].join(codes, on, "left"), "recorded_at",
+                shipment_identifier="coalesce(shipment_identifier, 'SHIP-LOST')",
+                coordinates="struct(CAST(latitude AS STRING) AS latitude, CAST(longitude AS STRING) AS longitude)",
+                container_temperature="CAST(container_temperature AS STRING)", speed_kmh="CAST(speed_kmh AS STRING)",
+            ),
+            self.raw(
+                "TransportCompleted", self["transport_completions"].join(codes, on), "completed_at",
+                shipment_identifier="shipment_identifier", arrival_node="arrival_node", delay_minutes="CAST(delay_minutes AS STRING)",
+            ),
+            self.raw(
+                "DeliveryCompleted", self["deliveries"].join(codes, on), "delivered_at", shipment_identifier="shipment_identifier",
+                delivery_status="delivery_status", received_by="received_by", cargo_product_reference="cargo_product_reference",
+            ),
+        ]
 
 
 def _all(parts: list[DataFrame]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from checks.adapter import Driver
 from checks.registry import add
-from freightloom.session import shared_dir
+from freightloom.session import SHUFFLES_END, settings, shared_dir
 from freightloom.sources.events import CORRUPT
 from freightloom.streaming.ingest import ingest, staged_events
 
@@ -28,18 +28,42 @@ def _put(spark, path: str, text: str) -> None:
     out.close()
 
 
+def _arrive(events: DataFrame, path: str) -> None:
+    """The events as lines of JSON in ``<path>/portion=<k>``; the portion of an event follows from its line."""
+    lines = events.select(F.to_json(F.struct("*")).alias("value"))
+    portion = F.pmod(F.xxhash64("value"), F.lit(PORTIONS)).alias("portion")
+    writer = lines.select("value", portion).write.mode("append").partitionBy("portion")
+    writer.options(**{"compression": "gzip", "zlib.compress.level": "EIGHT"}).text(path)  # files that stay; the default makes them a fifteenth larger
+
+
+def _land(spark, arrived: str, landing: str) -> None:
+    """Puts the files of one portion into the landing folder, as JSON files by their names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(landing).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(landing))
+    if not fs.exists(path(arrived)):
+        return
+    for file in fs.listStatus(path(arrived)):
+        name = file.getPath().getName()
+        if not fs.rename(file.getPath(), path(f"{landing}/{name.removesuffix('.txt.gz')}.json.gz")):
+            raise OSError(f"{arrived}/{name} was not put into {landing}")
+
+
 def land_and_ingest(d: Driver, on_bad: str) -> tuple[DataFrame, list[int]]:
     """Events of each system land in three portions; a run of the loader follows each, and a fourth at the end."""
     spark = d.spark
     base = f"{shared_dir(spark).rstrip('/')}/ingest-{uuid.uuid4().hex}"
-    landing, staged, checkpoint = f"{base}/landing", f"{base}/staged", f"{base}/checkpoint"
-    portion_of = F.pmod(F.xxhash64(F.to_json(F.struct("*"))), F.lit(PORTIONS)).alias("portion")
-    raw = {s: d.stage(f"raw-{s}", lambda s=s: d[f"raw_{s}"].select("*", portion_of)) for s in SYSTEMS}
+    arrived, landing, staged, checkpoint = f"{base}/arrived", f"{base}/landing", f"{base}/staged", f"{base}/checkpoint"
+    # a writer a portion, else every task sorts its lines by portion
+    with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(PORTIONS)} | SHUFFLES_END):
+        for system in SYSTEMS:
+            for part in getattr(d, f"{system}_parts")():  # one at a time: the shuffles of one are gone before the next
+                _arrive(part, f"{arrived}/{system}")
+    d.unstage()
     read = []
     for portion in range(PORTIONS):
-        for system, events in raw.items():
-            part = events.where(F.col("portion") == portion).drop("portion")
-            part.write.json(f"{landing}/{system}/portion-{portion}")
+        for system in SYSTEMS:
+            _land(spark, f"{arrived}/{system}/portion={portion}", f"{landing}/{system}/portion-{portion}")
             _put(spark, f"{landing}/{system}/broken-{portion}/events.json", "\n".join(BROKEN) + "\n")
         read.append(ingest(spark, landing, staged, checkpoint, on_bad))
     read.append(ingest(spark, landing, staged, checkpoint, on_bad))

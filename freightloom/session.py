@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -17,6 +19,9 @@ REQUIRED = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
 }
 
+#: Shuffle files go when the query that wrote them ends, not when the driver collects its garbage.
+SHUFFLES_END = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings to a session somebody else has built."""
@@ -25,6 +30,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """The settings hold within the block; then those of before hold again."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """Session for tests and the benchmark; a cluster brings its own."""
     builder = (

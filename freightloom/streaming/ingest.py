@@ -12,6 +12,11 @@ Staged rows are partitioned by ``system``, ``event_type`` and ``event_month``
 opens those folders only; ``event_day`` is a column. The rows of a run are
 dealt by folder before they are written, and the many rows of a large folder to
 several tasks: the number of files does not grow with the number of tasks.
+A run stages what has arrived in batches of ``batch_bytes`` of files as they
+lie in the landing folder, so that the disk its shuffle needs is bounded; the
+shuffle files of a batch go when the batch is committed. Every batch has files
+of its own in each folder it meets: smaller batches need less disk at a time
+and make more files.
 Unreadable lines stay rows with their text in ``_corrupt_record`` and no
 type (``on_bad="quarantine"``), or are dropped (``"drop"``).
 """
@@ -23,18 +28,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freightloom.functions.dates import parse_moment
+from freightloom.session import SHUFFLES_END, settings
 from freightloom.sources.events import CORRUPT, EVENT_SCHEMA
 
 #: Layout of the landing folder: one folder per system, any folders below it.
 LANDING_GLOB = "*/*"
 PARTITIONS = ["system", "event_type", "event_month"]
+#: Bytes of landed files that are staged at a time: what a run shuffles and sorts at once does not grow with what has landed.
+BATCH_BYTES = 128 * 2**20
 
 
-def landed_events(spark: SparkSession, landing: str, on_bad: str = "quarantine", multi_line: bool = False) -> DataFrame:
+def landed_events(
+    spark: SparkSession, landing: str, on_bad: str = "quarantine", multi_line: bool = False, batch_bytes: int = BATCH_BYTES
+) -> DataFrame:
     """The streaming scan of ``<landing>/<system>/<folder>/*.json*`` with the system of each file."""
     if on_bad not in ("quarantine", "drop"):
         raise ValueError("on_bad must be 'quarantine' or 'drop'")
     reader = spark.readStream.option("multiLine", multi_line).option("pathGlobFilter", "*.json*")
+    reader = reader.option("maxBytesPerTrigger", batch_bytes)
     if on_bad == "drop":
         reader = reader.schema(EVENT_SCHEMA).option("mode", "DROPMALFORMED")
     else:
@@ -42,7 +53,7 @@ def landed_events(spark: SparkSession, landing: str, on_bad: str = "quarantine",
         reader = reader.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     events = reader.json(f"{landing.rstrip('/')}/{LANDING_GLOB}")
     path = F.col("_metadata.file_path")
-    system = F.element_at(F.split(path, "/"), -3)
+    system = F.substring_index(F.substring_index(path, "/", -3), "/", 1)
     day = F.to_date(parse_moment("timestamp"))
     return events.select(
         "*",
@@ -53,20 +64,29 @@ def landed_events(spark: SparkSession, landing: str, on_bad: str = "quarantine",
     )
 
 
-def ingest(spark: SparkSession, landing: str, staged: str, checkpoint: str, on_bad: str = "quarantine") -> int:
+def ingest(
+    spark: SparkSession, landing: str, staged: str, checkpoint: str, on_bad: str = "quarantine", batch_bytes: int = BATCH_BYTES
+) -> int:
     """Stage what arrived since the last run with this checkpoint; the number of rows read in this run."""
-    events = landed_events(spark, landing, on_bad).hint("rebalance", *PARTITIONS)
-    query = (
+    events = landed_events(spark, landing, on_bad, batch_bytes=batch_bytes).hint("rebalance", *PARTITIONS)
+    writer = (
         events.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
+        .option("compression", "zstd")
         .partitionBy(*PARTITIONS)
         .trigger(availableNow=True)
-        .start(staged)
     )
-    query.awaitTermination()
+    with settings(spark, SHUFFLES_END):  # the query takes the settings along as it starts
+        query = writer.start(staged)
+    rows: dict[int, int] = {}
+    ended = False
+    while not ended:  # the query remembers its last hundred batches only
+        ended = query.awaitTermination(1)
+        for p in query.recentProgress:
+            rows[p["batchId"]] = max(rows.get(p["batchId"], 0), p.get("numInputRows", 0))
     if query.exception() is not None:
         raise query.exception()
-    return sum(p.get("numInputRows", 0) for p in query.recentProgress)
+    return sum(rows.values())
 
 
 def staged_events(spark: SparkSession, staged: str) -> DataFrame:

@@ -1,9 +1,13 @@
 """Incremental ingest: portions arrive, each is staged once, a run without new files reads nothing."""
 
+import gzip
 import json
 
 from pyspark.sql import functions as F
 
+import checks.adapter
+import checks.ingest
+from freightloom.sources.events import EVENT_SCHEMA
 from freightloom.streaming.ingest import ingest, quarantine, staged_events
 
 
@@ -52,3 +56,67 @@ def test_a_folder_gets_few_files(spark, tmp_path):
     events = staged_events(spark, str(staged))
     assert events.select("carrier_id").distinct().count() == 1200
     assert events.where("event_day = '2024-02-11'").count() == 20
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    names = set()
+    while files.hasNext():
+        names.add(files.next().getName())
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_a_run_stages_a_bounded_number_of_bytes_at_a_time(spark, tmp_path):
+    """Seven files in batches of one file: each is staged once, all are counted, and the shuffle of a batch goes with it."""
+    landing, staged, checkpoint = tmp_path / "landing", tmp_path / "staged", tmp_path / "c"
+    for k in range(7):
+        _drop(landing / "tms" / f"p{k}", "carriers.json", [json.dumps({"event_type": "CarrierCreated", "carrier_id": f"C{k}", "timestamp": "2024-02-01T00:00:00"})])
+    before = _shuffle_files(spark)
+    assert ingest(spark, str(landing), str(staged), str(checkpoint), batch_bytes=1) == 7
+    assert len([f for f in (checkpoint / "commits").iterdir() if f.name.isdigit()]) == 7
+    assert _shuffle_files(spark) - before == set()
+    assert ingest(spark, str(landing), str(staged), str(checkpoint), batch_bytes=1) == 0
+    assert sorted(r.carrier_id for r in staged_events(spark, str(staged)).collect()) == [f"C{k}" for k in range(7)]
+
+
+class _Few:
+    """Two sources of one system, none of the others."""
+
+    def __init__(self, spark):
+        self.spark, self.unstaged = spark, False
+        given = lambda kind, n: spark.range(n).select(
+            *[{"event_type": F.lit(kind), "sku": F.format_string("%s-%d \u00e4\n", F.lit(kind), "id"), "timestamp": F.lit("2024-01-01T00:00:00")}.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields]
+        )
+        self.wms_parts = lambda: [given("WarehouseSKUCreated", 40), given("NodeProcessed", 20)]
+        self.erp_parts = self.tms_parts = list
+
+    def unstage(self):
+        self.unstaged = True
+
+
+def test_events_land_compressed_and_once(spark, tmp_path, monkeypatch):
+    """The landed lines are the only other copy of the events: nothing of what they were written from stays."""
+    monkeypatch.setattr(checks.ingest, "shared_dir", lambda spark: str(tmp_path))
+    d, before = _Few(spark), _shuffle_files(spark)
+    events, read = checks.ingest.land_and_ingest(d, "quarantine")
+    assert _shuffle_files(spark) - before == set()
+    assert d.unstaged and sum(read) == 60 + 18 and read[3] == 0
+    (base,) = tmp_path.glob("ingest-*")
+    files = [f for f in base.rglob("part-*") if "staged" not in f.parts]
+    assert files and all(f.name.endswith(".json.gz") and "landing" in f.parts for f in files)
+    lines = [json.loads(line) for f in files for line in gzip.open(f, "rt", encoding="utf-8")]
+    skus = sorted([f"WarehouseSKUCreated-{k} \u00e4\n" for k in range(40)] + [f"NodeProcessed-{k} \u00e4\n" for k in range(20)])
+    assert sorted(x["sku"] for x in lines) == skus
+    good = events.where("_corrupt_record IS NULL")
+    assert sorted(r.sku for r in good.select("sku", "system").where("system = 'wms'").collect()) == skus
+    assert quarantine(events).count() == 18
+
+
+def test_staged_tables_go_when_nothing_reads_them(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(checks.adapter, "shared_dir", lambda spark: str(tmp_path))
+    d = checks.adapter.Driver(spark, str(tmp_path / "none"))
+    assert d.stage("numbers", lambda: spark.range(3)).count() == 3
+    assert list(tmp_path.glob("numbers-*"))
+    d.unstage()
+    assert not list(tmp_path.glob("numbers-*"))
+    assert d.stage("numbers", lambda: spark.range(4)).count() == 4
